@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import quality, simhash
 
-MODULES = [quality]
+MODULES = [quality, simhash]
 
 
 def queries() -> dict:
