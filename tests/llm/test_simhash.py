@@ -90,7 +90,7 @@ def test_links_connect_what_all_pairs_connect(spark):
 
 def test_components_of_chains_stars_and_nulls(spark):
     rnd = random.Random(1)
-    links = [(i, i + 1) for i in range(0, 60)] + [(100, 101 + i) for i in range(200)] + [(rnd.randrange(500, 900), rnd.randrange(500, 900)) for _ in range(250)] + [(1, 1), (0, 1)]
+    links = [(i, i + 1) for i in range(0, 12)] + [(100, 101 + i) for i in range(200)] + [(rnd.randrange(500, 600), rnd.randrange(500, 600)) for _ in range(60)] + [(1, 1), (0, 1)]
     want = brute_components({x for l in links for x in l if l[0] != l[1]} | {0, 1}, links)
     df = spark.createDataFrame([*links, (None, 4), (7, None)], "src long, dst long")
     assert {r.node: r.root for r in components(df).collect()} == {n: r for n, r in want.items() if any(n in l and l[0] != l[1] for l in links)}

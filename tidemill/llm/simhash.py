@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, partitions, table
@@ -145,17 +145,19 @@ def _link_chunk(gid: np.ndarray, member: np.ndarray, fp: np.ndarray, radius: int
     return out
 
 
+def _entries(i: int, shift: int, width: int, radius: int) -> Column:
+    """What a fingerprint puts into table i: itself, and its probes. Of two values the lesser probes for the greater, so a pair meets once."""
+    seg = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    ball = F.array(*[F.lit(x).cast("long") for x in _ball(width, radius)])
+    probes = F.filter(F.transform(ball, lambda x: seg.bitwiseXOR(x)), lambda k: k >= seg)
+    entry = lambda k, member: F.struct(F.lit(i).alias("seg"), k.alias("key"), F.lit(member).alias("member"))
+    return F.concat(F.array(entry(seg, True)), F.transform(probes, lambda k: entry(k, False)))
+
+
 def hamming_links(fps: DataFrame, radius: int = RADIUS, segments: int | None = None, block: int = BLOCK) -> DataFrame:
     """(src, dst) over the distinct longs of column `fp`: links that connect all that all pairs within `radius` bits connect."""
     segments = segments or _segments_for(fps.count())
-    rows = []
-    for i, (shift, width, r) in enumerate(layout(radius, segments)):
-        mask = (1 << width) - 1
-        seg = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(mask).cast("long"))
-        # of two values that differ only the lesser probes, so a pair meets once
-        ball = F.filter(F.transform(F.array(*[F.lit(x).cast("long") for x in _ball(width, r)]), lambda x, seg=seg: seg.bitwiseXOR(x)), lambda k, seg=seg: k >= seg)
-        rows.append(F.transform(ball, lambda k, i=i: F.struct(F.lit(i).alias("seg"), k.alias("key"), F.lit(False).alias("member"))))
-        rows.append(F.array(F.struct(F.lit(i).alias("seg"), seg.alias("key"), F.lit(True).alias("member"))))
+    rows = [_entries(i, *segment) for i, segment in enumerate(layout(radius, segments))]
     p = fps.select("fp", F.explode(F.concat(*rows)).alias("x")).select("fp", "x.*")
     keys = p.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if("member").alias("nm")).filter("nm >= 1 and n - nm >= 2")
     keys = keys.select(F.col("seg").alias("s_"), F.col("key").alias("k_"), F.ceil(F.col("n") / F.lit(block)).cast("int").alias("nb"))
@@ -223,9 +225,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows, by_fp = classes(fingerprints(docs, id_col, text_col), radius)
     least = by_fp.select(F.col("component_id").alias("__least")).filter("__least is not null").distinct()
     twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and id is not null").select(F.col("id").alias("__twice"))
-    out = docs.join(least, docs[id_col] == F.col("__least"), "left_semi")
+    out = docs.join(least, docs[id_col] == least["__least"], "left_semi")
     if twice.limit(1).count():
-        mark = out.select(F.struct("*").alias("row"), out[id_col].alias("__id")).join(twice, F.col("__id") == F.col("__twice"), "left")
+        mark = out.select(F.struct("*").alias("row"), out[id_col].alias("__id")).join(twice, F.col("__id") == twice["__twice"], "left")
         more = mark.filter("__twice is not null").groupBy("__id").agg(F.first("row").alias("row")).select("row.*")
         out = mark.filter("__twice is null").select("row.*").unionByName(more)
     if rows.filter("id is null").limit(1).count():
