@@ -41,3 +41,14 @@ def bound(expr: Column, body) -> Column:
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def rewritten(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet in the shared checkpoint folder and read again."""
+    import uuid
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import quality, simhash
+from . import packing, pii, quality, simhash
 
-MODULES = [quality, simhash]
+MODULES = [quality, simhash, packing, pii]
 
 
 def queries() -> dict:
