@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import packing, pii, quality, simhash
+from . import html, packing, pii, quality, sharding, simhash
 
-MODULES = [quality, simhash, packing, pii]
+MODULES = [quality, simhash, packing, pii, sharding, html]
 
 
 def queries() -> dict:
