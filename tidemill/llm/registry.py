@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import html, packing, pii, quality, sharding, simhash
+from . import embeddings, html, packing, pii, quality, sharding, simhash
 
-MODULES = [quality, simhash, packing, pii, sharding, html]
+MODULES = [quality, simhash, packing, pii, sharding, html, embeddings]
 
 
 def queries() -> dict:
