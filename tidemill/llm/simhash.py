@@ -23,6 +23,8 @@ from .graph import components
 RADIUS, WORDS, SEED = 4, 4, 42
 #: Fingerprints of one bucket that are compared at a time.
 BLOCK = 2048
+#: Hot buckets that may be broadcast; beyond, they are joined by a shuffle.
+BROADCAST = 50_000
 #: Rows that a linking task holds at a time, beside one block pair.
 CHUNK = 200_000
 
@@ -159,9 +161,11 @@ def hamming_links(fps: DataFrame, radius: int = RADIUS, segments: int | None = N
     segments = segments or _segments_for(fps.count())
     rows = [_entries(i, *segment) for i, segment in enumerate(layout(radius, segments))]
     p = fps.select("fp", F.explode(F.concat(*rows)).alias("x")).select("fp", "x.*")
-    keys = p.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if("member").alias("nm")).filter("nm >= 1 and n - nm >= 2")
-    keys = keys.select(F.col("seg").alias("s_"), F.col("key").alias("k_"), F.ceil(F.col("n") / F.lit(block)).cast("int").alias("nb"))
-    met = p.join(keys, (F.col("seg") == F.col("s_")) & (F.col("key") == F.col("k_"))).select("seg", "key", "member", "fp", "nb")
+    # buckets beyond a block are rare: at most entries / block
+    hot = p.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    hot = cut(hot.select(F.col("seg").alias("s_"), F.col("key").alias("k_"), F.ceil(F.col("n") / F.lit(block)).cast("int").alias("nb")))
+    few = hot.limit(BROADCAST + 1).count() <= BROADCAST
+    met = p.join(F.broadcast(hot) if few else hot, (F.col("seg") == F.col("s_")) & (F.col("key") == F.col("k_")), "left").select("seg", "key", "member", "fp", F.coalesce("nb", F.lit(1)).alias("nb"))
     mine = F.pmod(F.xxhash64("fp"), F.col("nb").cast("long")).cast("int")
     met = met.select("seg", "key", "member", "fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
     i, j = F.when(F.col("member"), F.col("other")).otherwise(F.col("mine")), F.when(F.col("member"), F.col("mine")).otherwise(F.col("other"))
