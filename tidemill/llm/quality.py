@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound, table
+from .common import bound, sealed, table
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -160,7 +160,7 @@ def ablation(led: DataFrame, policies: list[Policy] | None = None) -> DataFrame:
 
 def keep_clean(docs: DataFrame, policy: Policy = CURRENT, text_col: str = "text") -> DataFrame:
     """The rows of `docs`, unchanged, that the policy keeps."""
-    return apply_policy(ledger(docs, text_col), policy).filter("kept").select("row.*")
+    return sealed(apply_policy(ledger(docs, text_col), policy)).filter("kept").select("row.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
