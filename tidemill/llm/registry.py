@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import embeddings, html, packing, pii, quality, sharding, simhash
+from . import embeddings, html, licenses, packing, pieces, pii, quality, sharding, simhash, tokencount
 
-MODULES = [quality, simhash, packing, pii, sharding, html, embeddings]
+MODULES = [licenses, pieces, embeddings, tokencount, simhash, pii, sharding, html, quality, packing]
 
 
 def queries() -> dict:
