@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list = []
+from . import dedup_queries  # noqa: E402
+
+MODULES: list = [dedup_queries]
 
 
 def queries() -> dict[str, Query]:
