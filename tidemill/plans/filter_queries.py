@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..adapters.chat import ADAPTERS
 from ..functions import answers as A
 from ..functions import messages as M
 from ..functions import text as X
@@ -99,7 +100,13 @@ def scoring_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats(spark, sf_dir).select("conv_id", F.sha1(M.scoring_text("m", M.last("m")["content"])).alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (drop_reason_histogram, chat_drop_reasons, question_flags, chinese_ratio, identity_and_cutoff, safety_flag_join, repetition_sentences, repetition_phrases, prompt_reference_filter, passrate_filter, ground_truth_gate, numeric_answer_normalise, think_extract, context_messages, last_user_message, scoring_text)}
+def chat_canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations through an adapter: canonical ids and reasons."""
+    x = chats(spark, sf_dir).withColumns({"pos": F.col("conv_id"), "messages": F.col("m"), "ds_uid": F.col("conv_id"), "dataset_name": F.lit("talk"), "source": F.lit("math_chats")})
+    return ADAPTERS["named_english"].apply(x, CFG, dataset_id="talks").select("row_id", "example_id", "domain", "source_dataset_id", "_keep", "_drop_reason")
+
+
+QUERIES = {f.__name__: f for f in (chat_canonical_rows, drop_reason_histogram, chat_drop_reasons, question_flags, chinese_ratio, identity_and_cutoff, safety_flag_join, repetition_sentences, repetition_phrases, prompt_reference_filter, passrate_filter, ground_truth_gate, numeric_answer_normalise, think_extract, context_messages, last_user_message, scoring_text)}
 
 
 def _words(t: str, words: list[str]) -> str:
@@ -160,6 +167,7 @@ d AS (SELECT c.conv_id, CASE
 
 _NUM = f"regexp_extract(regexp_replace(a, '[$€£¥]', '', 'g'), '{A.NUMBER}', 0)"
 ORACLE_SQL = {
+    "chat_canonical_rows": f"WITH {_REASONS} SELECT CAST(conv_id AS VARCHAR) AS row_id, sha256('talks|train|' || conv_id) AS example_id, 'math' AS domain, 'talk' AS source_dataset_id, reason IS NULL AS _keep, reason AS _drop_reason FROM d",
     "drop_reason_histogram": f"WITH {_REASONS} SELECT reason, count(*) AS n FROM d WHERE reason IS NOT NULL GROUP BY reason",
     "chat_drop_reasons": f"WITH {_REASONS} SELECT conv_id, reason AS _drop_reason, reason IS NULL AS _keep FROM d",
     "question_flags": f"SELECT doc_id, {S.blank('text')} AS empty, coalesce(regexp_matches(text, '(?i)https?://'), false) AS http, {_words('text', SF.IMAGE_WORDS)} AS image, starts_with(lower({S.strip('text')}), 'a)') AND contains(lower(text), 'b)') AS multipart, length(text) < 200 AS short, length({S.ws_norm('text')}) < 50 AS short_norm FROM documents",
