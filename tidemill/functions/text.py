@@ -147,3 +147,19 @@ def repeated_sentence(c: Column | str) -> Column:
 
 def repeated_ngram(c: Column | str, n: int) -> Column:
     return most_common(ngrams(c, n))
+
+
+def is_think_format(c: Column | str) -> Column:
+    """One think block, then a response."""
+    return F.coalesce(col(c).rlike("(?is)\\A\\s*<think>.*?</think>.+\\z"), F.lit(False))
+
+
+def is_answer_format(c: Column | str) -> Column:
+    """One think block, then one answer block, and nothing else."""
+    return F.coalesce(col(c).rlike("(?is)\\A\\s*<think>.*?</think>\\s*<answer>.*?</answer>\\s*\\z"), F.lit(False))
+
+
+def language_code(label: Column | str, codes: dict[str, str]) -> Column:
+    """A label's short code: by table ('__label__' and what follows '_' do not count), or its first two letters."""
+    plain = F.lower(F.regexp_replace(F.regexp_replace(col(label), "^__label__", ""), "_.*$", ""))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]), plain), F.substring(plain, 1, 2))

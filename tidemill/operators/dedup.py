@@ -237,3 +237,13 @@ def fuzzy_sequential(df: DataFrame, text: Column, dataset: str = "dataset_id", p
             yield pd.DataFrame(out, columns=["pos", "_drop_reason", "_fuzzy_score", "_fuzzy_matched_dataset"])
 
     return x.mapInPandas(run, "pos bigint, _drop_reason string, _fuzzy_score double, _fuzzy_matched_dataset string")
+
+
+def top_matches(scored: DataFrame, n: int = 20) -> DataFrame:
+    """At most n candidates of each row, best first: what a policy that looks beyond the best match reads. A rank within parts of a row's candidates comes first, so no task sorts them all."""
+    from pyspark.sql.window import Window
+
+    order = [F.desc("score"), "offset", "c_pos"]
+    part = F.pmod(F.xxhash64("c_pos"), F.lit(16))
+    x = scored.withColumn("_part", part).withColumn("_n", F.row_number().over(Window.partitionBy("q_pos", "_part").orderBy(*order))).filter(F.col("_n") <= n)
+    return x.withColumn("_n", F.row_number().over(Window.partitionBy("q_pos").orderBy(*order))).filter(F.col("_n") <= n).withColumnRenamed("_n", "rank").drop("_part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidemill", master: str | None = None, **extra: str) -> SparkSession:
@@ -22,3 +22,8 @@ def build_session(app: str = "tidemill", master: str | None = None, **extra: str
     for k, v in extra.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` cut from its lineage by a reliable checkpoint, where the cluster names a folder for it: later stages then read it and do not compute it again. Without one, `df` as it is."""
+    return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
