@@ -90,10 +90,10 @@ def blocked(df: DataFrame, norm: Column, p: Blocking, **columns: Column) -> Data
 
 
 def _scored(pairs: DataFrame, p: Blocking) -> DataFrame:
-    """Pairs at or above the threshold. Lengths alone rule most others out before a text is compared."""
+    """Pairs at or above the threshold. Lengths alone rule most others out before a text is compared; the rest are dealt out anew, as comparing costs far more than moving and a frequent head would else keep one task busy."""
     lev = p.metric == "levenshtein"
     bound = F.floor((1 - p.threshold / 100) * (F.greatest("q_len", "c_len") if lev else F.col("q_len") + F.col("c_len")) + 1e-9)
-    near = pairs.filter(F.abs(F.col("q_len") - F.col("c_len")) <= bound)
+    near = pairs.filter(F.abs(F.col("q_len") - F.col("c_len")) <= bound).repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q_pos", "c_pos")
     ratio = levenshtein_ratio_column if lev else indel_ratio_column
     return near.withColumn("score", ratio("q_norm", "c_norm")).filter(F.col("score") >= p.threshold)
 
