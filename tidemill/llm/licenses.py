@@ -89,8 +89,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     whole = F.when(F.size("paragraphs") > 1, unit("document", F.array("p"))).otherwise(F.array().cast("array<struct<unit:string,no:int,t:string>>"))
     lines = unit("line", F.filter(F.split("p", "\n"), lambda t: t != ""))
     x = x.select("id", F.explode(F.concat(lines, many, whole)).alias("u")).select("id", "u.unit", "u.no", F.split(F.regexp_replace("u.t", "\n+", " "), " ").alias("w"))
-    # words bound different bigrams from above
-    x = sealed(x).filter(F.size("w") - 1 >= least)
+    # A unit of d different words has at least d - 1 different bigrams, and of v words that any template has at most v - 1
+    # that a template has too. A coefficient of t takes t / (2 - t) of the unit's bigrams, so units with too few such
+    # words, or too many different ones, go before a bigram is made: exact, and most prose goes here.
+    words = sorted({w for *_, b in rows for g in b for w in g.split()})
+    x = x.withColumn("d", F.size(F.array_distinct("w"))).withColumn("v", F.size(F.filter("w", lambda t: t.isin(words))))
+    x = sealed(x).filter((F.size("w") - 1 >= least) & (F.col("d") - 1 <= most) & ((F.col("v") - 1) * (2 - threshold) >= (F.col("d") - 1) * threshold - 1e-6))
     x = x.withColumn("b", bound(F.col("w"), lambda w: F.array_distinct(F.transform(F.slice(w, 2, F.size(w)), lambda v, i: F.concat_ws(" ", F.get(w, i), v)))))
     x = sealed(x.withColumn("n", F.size("b"))).filter(F.col("n").between(least, most))
     x = x.join(F.broadcast(by_size), F.col("n") == F.col("n_")).join(F.broadcast(texts), F.col("t_") == F.col("i_"))
