@@ -100,3 +100,11 @@ def test_spans_equal_brute_force_statistics(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(df).count() == 0 and pii.sanitise(df).count() == 0
+
+
+def test_terms_that_reveal_the_class_of_single_entities_go(spark):
+    rows = [f"Acme Xk9 wrote from p{i}@acme.org on topic. common words stand here" for i in range(5)] + [f"on topic. common words wrote from here {i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df, p=pii.Disclosure(remove=1.1)).collect()}
+    assert all(out[i] == "[NAME] [NAME] wrote from [EMAIL] on topic. common words stand here".replace("stand", "[WORD]") for i in range(5))
+    assert all(out[i] == rows[i] for i in range(5, 45))

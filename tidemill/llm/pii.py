@@ -1,6 +1,8 @@
 """Personal data: fixed patterns, and terms that reveal what the patterns find.
 
-The patterns' matches are the protected entities. Over the whole corpus, a term's point-wise mutual
+The patterns' matches are the protected entities, and so are the broader classes they lie in (an email's domain,
+an address's network, a card's issuer, a phone's area): most values stand in one text only, where no
+statistic tells anything, but their classes recur. A kind as a whole is no such class, as its mark names it. Over the whole corpus, a term's point-wise mutual
 information with an entity says how much it tells of it; in parts of the entity's own information
 that is between 0 (nothing) and 1 (the term never occurs without it). A term at or above `disclose` in enough
 different texts is generalised in the texts that hold the entity, at or above `remove` removed.
@@ -32,7 +34,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+TERM = re.compile(r"[^\W\d_]{2,}")
+#: Whole words of letters and digits.
+MIXED = re.compile(r"(?<![^\W_])(?:[^\W\d_]++\d|\d++[^\W\d_])[^\W_]*+")
 
 
 @dataclass(frozen=True)
@@ -87,27 +91,33 @@ def joined(spans: Iterable[tuple[str, int, int]]) -> str:
 
 
 def entities(t: str, spans: list[tuple[str, int, int]]) -> list[int]:
-    """What each found value is, however it is written: digits alone count, letters in lower case."""
-    plain = lambda k, v: v.lower() if k == "email" else v if k == "ip" else "".join(c for c in v if c.isdigit())
-    return sorted({xxhash.xxh64_intdigest(f"{k}:{plain(k, t[s:e])}") - (1 << 63) for k, s, e in spans})
+    """What each found value is, however it is written (digits alone count, letters in lower case), and its class."""
+    out = set()
+    for k, s, e in spans:
+        v = t[s:e].lower() if k == "email" else t[s:e] if k == "ip" else "".join(c for c in t[s:e] if c.isdigit())
+        broad = {"email": v.rpartition("@")[2], "ip": v.rpartition(".")[0], "card": v[:6], "phone": v[:-7]}[k]
+        out |= {f"{k}:{v}", f"{k} in:{broad}"}
+    return sorted(xxhash.xxh64_intdigest(x) - (1 << 63) for x in out)
 
 
 def terms(t: str) -> set[str]:
-    return set(TERM.findall(t.lower()))
+    """Runs of two letters or more, and words that mix letters and digits."""
+    low = t.lower()
+    return {*TERM.findall(low), *(MIXED.findall(low) if DIGIT.search(low) else ())}
 
 
 def all_spans(t: str, found: dict[str, bool]) -> list[tuple[str, int, int]]:
     """Base spans and those of the disclosing terms (`found`: whether to remove) that overlap none of them."""
-    base = base_spans(t)
-    taken = iter([*sorted((s, e) for _, s, e in base), (len(t) + 1, len(t) + 1)])
-    s0, e0 = next(taken)
-    out = list(base)
-    for m in TERM.finditer(t):
-        while e0 <= m.start():
-            s1, e1 = next(taken)
-            s0, e0 = s1, max(e0, e1)
-        if m.end() <= s0 and m[0].lower() in found:
-            out.append(("term", *m.span()))
+    out = base_spans(t)
+    for pattern in (MIXED, TERM):  # a mixed word goes before the letters in it
+        taken = iter([*sorted((s, e) for _, s, e in out), (len(t) + 1, len(t) + 1)])
+        s0, e0 = next(taken)
+        for m in pattern.finditer(t):
+            while e0 <= m.start():
+                s1, e1 = next(taken)
+                s0, e0 = s1, max(e0, e1)
+            if m.end() <= s0 and m[0].lower() in found:
+                out.append(("term", *m.span()))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -170,14 +180,14 @@ class _Sums:
 
 
 def _pair_counts(texts: DataFrame, p: Disclosure) -> DataFrame:
-    """(entity, term, n_texts, n_rows) of texts (entities, body, n)."""
+    """(entity, term, n_texts, n_rows) of texts (entities, body, n); with a null entity, of all these texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(p.held, ["entity", "term", "n_texts", "n_rows"], [pa.int64(), pa.string(), pa.int64(), pa.int64()])
         for b in batches:
             for ents, body, n in zip(*(b.column(i).to_pylist() for i in range(3))):  # noqa: B905
                 for w in terms(body):
-                    for e in ents:
+                    for e in (None, *ents):
                         sums.add((e, w), 1, n)
                 yield from sums.flush(p.held)
         yield from sums.flush(1)
@@ -193,7 +203,7 @@ def _term_counts(docs: DataFrame, text_col: str, wanted: set[str] | None, p: Dis
         sums = _Sums(p.held, ["term", "n_term"], [pa.string(), pa.int64()])
         for b in batches:
             for t in b.column(0).to_pylist():
-                for w in terms(t or "") if wanted is None else wanted.intersection(TERM.findall((t or "").lower())):
+                for w in terms(t or "") if wanted is None else wanted & terms(t or ""):
                     sums.add((w,), 1)
                 yield from sums.flush(p.held)
         yield from sums.flush(1)
@@ -222,12 +232,16 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text",
         return None
     ours = each.join(often.select("entity"), "entity").groupBy("key").agg(F.first("n").alias("n"), F.collect_set("entity").alias("entities"))
     texts = cut(ours.join(held.groupBy("key").agg(F.first("body").alias("body")), "key"))
-    pairs = cut(_pair_counts(texts, p).filter(F.col("n_texts") >= p.texts).select("entity", "term", "n_rows"))
     total = found.count()
-    counts = _term_counts(docs, text_col, _few(pairs, "term", p.held), p)
     own = F.log2(F.lit(total) / F.col("n_entity"))
-    told = F.log2(F.col("n_rows") * F.lit(total) / (F.col("n_entity") * F.col("n_term")))
-    reveals = pairs.join(counts, "term").join(often.select("entity", "n_entity"), "entity").select("entity", "term", F.when(own > 0, told / own).otherwise(0.0).alias("part"))
+    part = lambda n_term: F.when(own > 0, F.log2(F.col("n_rows") * F.lit(total) / (F.col("n_entity") * F.col(n_term))) / own).otherwise(0.0)
+    every = cut(_pair_counts(texts, p))
+    pairs = every.filter("entity is not null").filter(F.col("n_texts") >= p.texts).select("entity", "term", "n_rows").join(often.select("entity", "n_entity"), "entity")
+    # the whole corpus holds a term at least as often as these texts do, so pairs that fall short by their count alone go: exact
+    pairs = pairs.join(every.filter("entity is null").select("term", F.col("n_rows").alias("n_held")), "term").filter(part("n_held") >= p.disclose - 1e-6)
+    pairs = cut(pairs.select("entity", "term", "n_rows", "n_entity"))
+    counts = _term_counts(docs, text_col, _few(pairs, "term", p.held), p)
+    reveals = pairs.join(counts, "term").select("entity", "term", part("n_term").alias("part"))
     reveals = cut(reveals.filter(F.col("part") >= p.disclose - 1e-9).select("entity", "term", (F.col("part") >= p.remove - 1e-9).alias("removed")))
     wanted = _few(reveals, "term", p.held)
 
