@@ -66,3 +66,24 @@ def test_range_search_finds_what_is_in_range():
     s = v @ v.T
     true = {(int(a), int(b)) for a, b in np.argwhere(s >= 0.9) if a != b}
     assert found <= true and len(found) >= 0.95 * len(true) > 0
+
+
+def test_sparse_links_among_many_cells_are_found(spark):
+    rnd = np.random.default_rng(5)
+    v = rnd.normal(size=(6000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    u = rnd.normal(size=(15, 64))
+    u -= (u * v[:15]).sum(1)[:, None] * v[:15]
+    v = np.concatenate([v, 0.9001 * v[:15] + np.sqrt(1 - 0.9001**2) * u / np.linalg.norm(u, axis=1)[:, None]])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    links = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, p=embeddings.Index(shard=60, exact=0)).collect()}
+    s = v @ v.T
+    want = (s >= 0.9).sum(1) - 1
+    assert want.sum() == 30 and sum(links[i] != n for i, n in enumerate(want)) <= 2
+
+
+def test_no_true_pair_is_no_evidence(spark):
+    v = np.eye(40)
+    df = spark.createDataFrame([(i, bytearray(x.tobytes()), 0.0) for i, x in enumerate(v)], "leader long, v binary, r double")
+    pairs = spark.createDataFrame([], "a long, b long, cos double")
+    assert embeddings._audit(df, pairs, 0.4, embeddings.Index()) is None

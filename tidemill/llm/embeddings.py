@@ -8,7 +8,9 @@
    a leader's adjacency lists from all its shards are united.
 4. In each shard every leader searches the united graph greedily from the shard's medoid and expands from what lies
    in range until nothing new does.
-5. Recall is audited against brute force for a bounded sample of leaders; below `recall` the overlap is doubled.
+5. Recall is audited against brute force for leaders drawn until `evidence` true pairs are met, those with few
+   pairs also for themselves, and for planted partners at the edge of the range; the least share counts, and below
+   `recall` the overlap is doubled. Where all cells would meet, or graphs would cost more, all pairs are compared.
 6. Every pair of groups found is verified in double precision, down to single vectors unless their
    angles alone prove all or none linked.
 """
@@ -30,7 +32,7 @@ from .graph import components
 
 @dataclass(frozen=True)
 class Index:
-    """`sample`: vectors that fit the centroids and audit queries are drawn from; `shard`: leaders aimed at in a shard; `block`: vectors grouped in one task; `degree`, `slack`, `beam`: of robust pruning and greedy search; `audit`: queries."""
+    """`sample`: vectors that fit the centroids and audit queries are drawn from; `shard`: leaders aimed at in a shard; `block`: vectors grouped in one task; `degree`, `slack`, `beam`: of robust pruning and greedy search; `audit`: queries drawn at first, and planted partners; `evidence`: true pairs to draw; `most_audit`: queries at most; `exact`: leaders, by one of overlap, up to which all pairs cost less than graphs."""
 
     sample: int = 8192
     shard: int = 1000
@@ -42,6 +44,9 @@ class Index:
     slack: float = 1.2
     beam: int = 24
     audit: int = 256
+    evidence: int = 200
+    most_audit: int = 16_384
+    exact: int = 32_768
     recall: float = 0.98
 
 
@@ -249,25 +254,103 @@ def _leader_pairs(leaders: DataFrame, centroids: np.ndarray, theta: float, overl
     return x.groupBy("a", "b").agg(F.max("cos").alias("cos"))
 
 
-def _audit(leaders: DataFrame, pairs: DataFrame, theta: float, p: Index) -> float:
-    """The part of a bounded sample's true pairs that was found."""
-    picked = leaders.orderBy(F.xxhash64("leader"), "leader").limit(p.audit).collect()
-    ids, v, r = [x["leader"] for x in picked], _vectors([bytes(x["v"]) for x in picked]), np.array([x["r"] for x in picked])
+def _all_pairs(leaders: DataFrame, theta: float, blocks: int) -> DataFrame:
+    """(a, b, cos), a < b, of all leaders in range of each other, by brute force in pairs of blocks."""
     kind = leaders.schema["leader"].dataType.simpleString()
-
-    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            other = b.column(0).to_pylist()
-            a = _angle(_vectors(b.column(1).to_pylist()) @ v.T)
-            i, j = np.nonzero(a <= theta + b.column(2).to_numpy()[:, None] + r[None, :] - 1e-9)
-            rows = [sorted((other[x], ids[y])) for x, y in zip(i, j) if other[x] != ids[y]]  # noqa: B905
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], b.schema.field(0).type) for k in (0, 1)], ["a", "b"])
-
-    true = cut(leaders.select("leader", "v", "r").mapInArrow(brute, f"a {kind}, b {kind}").distinct())
-    n = true.count()
-    return true.join(pairs.select("a", "b"), ["a", "b"], "left_semi").count() / n if n else 1.0
+    own = F.pmod(F.xxhash64(F.col("leader"), F.lit("block")), F.lit(blocks)).cast("int")
+    placed = leaders.select("leader", "v", "r", own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    placed = placed.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("leader", "v", "r", "own", "i", "j")
+
+    def meet(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["own"] == key[0]], pdf[pdf["own"] == key[1]]
+        v, w = _vectors(left["v"]), _vectors(right["v"])
+        one, two = left["leader"].to_numpy(), right["leader"].to_numpy()
+        r, q = left["r"].to_numpy(), right["r"].to_numpy()
+        found = []
+        for lo in range(0, len(left) if len(right) else 0, 256):
+            s = v[lo : lo + 256] @ w.T
+            x, y = np.nonzero(s >= np.cos(np.minimum(np.pi, theta + r[lo : lo + 256] + q.max() + 1e-9))[:, None])
+            near = s[x, y] >= np.cos(np.minimum(np.pi, theta + r[lo + x] + q[y] + 1e-9))
+            x, y = x[near], y[near]
+            a, b = one[lo + x], two[y]
+            keep = a < b if key[0] == key[1] else a != b
+            found.append(pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "cos": s[x, y][keep]}))
+        return pd.concat(found) if found else pd.DataFrame({"a": one[:0], "b": one[:0], "cos": r[:0]})
+
+    return placed.groupBy("i", "j").applyInPandas(meet, f"a {kind}, b {kind}, cos double")
+
+
+def partners(v: np.ndarray, angle: np.ndarray) -> np.ndarray:
+    """For each unit vector another one at the given angle, in a direction drawn by a fixed seed; needs two dimensions."""
+    u = np.random.default_rng(7).normal(size=v.shape)
+    u -= (u * v).sum(1)[:, None] * v
+    u /= np.maximum(np.linalg.norm(u, axis=1), EPS)[:, None]
+    return np.cos(angle)[:, None] * v + np.sin(angle)[:, None] * u
+
+
+def cells_met(v: np.ndarray, w: np.ndarray, centroids: np.ndarray, overlap: int) -> float:
+    """The share of rows of which v and w have one of their `overlap` nearest centroids in common."""
+    near = [np.argsort(-(x @ centroids.T), axis=1, kind="stable")[:, :overlap] for x in (v, w)]
+    return float(np.mean([not set(a).isdisjoint(b) for a, b in zip(*(x.tolist() for x in near))]))  # noqa: B905
+
+
+def _picked(leaders: DataFrame, n: int) -> tuple[list, np.ndarray, np.ndarray]:
+    rows = leaders.orderBy(F.xxhash64("leader"), "leader").limit(n).collect()
+    return [x["leader"] for x in rows], _vectors([bytes(x["v"]) for x in rows]), np.array([x["r"] for x in rows])
+
+
+def _audit(leaders: DataFrame, pairs: DataFrame, theta: float, p: Index) -> float | None:
+    """The part of the drawn leaders' true pairs that was found, or of those of leaders with at most two, if that is less; None if none was met."""
+    kind = leaders.schema["leader"].dataType.simpleString()
+    total, n = leaders.count(), p.audit
+    while True:
+        ids, v, r = _picked(leaders, n)
+
+        def brute(batches: Iterator[pa.RecordBatch], ids: list = ids, v: np.ndarray = v, r: np.ndarray = r) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                other = b.column(0).to_pylist()
+                for lo in range(0, b.num_rows, 512):
+                    s, q = _vectors(b.column(1).slice(lo, 512).to_pylist()) @ v.T, b.column(2).slice(lo, 512).to_numpy()
+                    i, j = np.nonzero(s >= np.cos(np.minimum(np.pi, theta + q + r.max()))[:, None])
+                    near = _angle(s[i, j]) <= theta + q[i] + r[j] - 1e-9
+                    i, j = i[near], j[near]
+                    rows = [(ids[y], *sorted((other[lo + x], ids[y]))) for x, y in zip(i, j) if other[lo + x] != ids[y]]  # noqa: B905
+                    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], b.schema.field(0).type) for k in range(3)], ["q", "a", "b"])
+
+        true = cut(leaders.select("leader", "v", "r").mapInArrow(brute, f"q {kind}, a {kind}, b {kind}"))
+        if true.count() >= p.evidence or n >= min(total, p.most_audit):
+            break
+        n = min(4 * n, p.most_audit)
+    got = true.join(pairs.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hit"))
+    few = F.col("n") <= 2
+    x = got.agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"), F.sum(F.when(few, F.col("n"))).alias("n2"), F.sum(F.when(few, F.col("hit"))).alias("hit2")).first()
+    parts = [h / m for m, h in ((x["n"], x["hit"]), (x["n2"], x["hit2"])) if m]
+    return min(parts, default=None)
+
+
+def _graph_pairs(groups: DataFrame, centroids: np.ndarray, theta: float, p: Index) -> DataFrame:
+    """Pairs of leaders in range by graphs, at an overlap that passes the audit; by brute force where none does or graphs cost more."""
+    kind = groups.schema["leader"].dataType.simpleString()
+    n, k, overlap = groups.count(), len(centroids), p.overlap
+    blocks = max(1, -(-n // 8192))
+    ids, v, r = _picked(groups, p.audit)
+    angle = np.minimum(np.pi, theta + r)
+    planted = partners(v, angle - 1e-6)
+    names = [int(x) for x in pd.util.hash_array(np.array(ids, np.int64)).view(np.int64)]
+    extra = groups.sparkSession.createDataFrame([(a, bytearray(w.tobytes()), 0.0) for a, w in zip(names, planted)], f"leader {kind}, v binary, r double")  # noqa: B905
+    both = groups.sparkSession.createDataFrame([(min(x), max(x)) for x in zip(ids, names)], f"a {kind}, b {kind}")  # noqa: B905
+    while True:
+        while overlap < k and cells_met(v, planted, centroids, overlap) < p.recall:
+            overlap *= 2
+        if overlap >= k or n <= p.exact * overlap:
+            return cut(_all_pairs(groups, theta, blocks))
+        found = cut(_leader_pairs(groups.select("leader", "v", "r").unionByName(extra), centroids, theta, overlap, p))
+        seen = both.join(found, ["a", "b"], "left_semi").count() / len(ids)
+        pairs = found.filter(~F.col("a").isin(names) & ~F.col("b").isin(names))
+        told = _audit(groups, pairs, theta, p)
+        if min(seen, 1.0 if told is None else told) >= p.recall:
+            return cut(pairs)
+        overlap *= 2
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, p: Index = Index()) -> DataFrame:
@@ -308,12 +391,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     groups = members.groupBy("leader").agg(F.max("far").alias("r"), F.sum("n").alias("size"), F.min("least").alias("least"))
     groups = cut(groups.join(members.filter("c = leader").select("leader", "v"), "leader"))
 
-    overlap = p.overlap
-    while True:
-        pairs = cut(_leader_pairs(groups, centroids, theta, overlap, p))
-        if overlap >= len(centroids) or _audit(groups, pairs, theta, p) >= p.recall:
-            break
-        overlap *= 2
+    pairs = _graph_pairs(groups, centroids, theta, p)
 
     side = groups.select("leader", "r", "size")
     x = pairs.join(side.select(F.col("leader").alias("a"), F.col("r").alias("ra"), F.col("size").alias("na")), "a").join(side.select(F.col("leader").alias("b"), F.col("r").alias("rb"), F.col("size").alias("nb")), "b")
