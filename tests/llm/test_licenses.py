@@ -48,3 +48,9 @@ def test_query_equals_sql(spark, sf):
     c.execute(f"create view documents as select * from read_parquet('{sf}/documents.parquet')")
     want = sorted(c.execute(licenses.ORACLE_SQL["op1_license_scan"]).fetchall())
     assert sorted((r.doc_id, r.unit, r.unit_no, r.license, r.template, r.dice) for r in licenses.op1_license_scan(spark, sf).collect()) == want and want
+
+
+def test_short_notices_are_reported(spark):
+    rows = [(1, "Some prose here.\nAll rights reserved.\nMore prose of it."), (2, "Copyright (c) 2020 Acme\nAll Rights Reserved"), (3, "all the rights were reserved")]
+    got = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, "proprietary"), (2, "proprietary")}
