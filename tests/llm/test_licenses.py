@@ -54,3 +54,13 @@ def test_short_notices_are_reported(spark):
     rows = [(1, "Some prose here.\nAll rights reserved.\nMore prose of it."), (2, "Copyright (c) 2020 Acme\nAll Rights Reserved"), (3, "all the rights were reserved")]
     got = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, "proprietary"), (2, "proprietary")}
+
+
+def test_texts_with_blank_lines_inside_other_text_are_reported(spark):
+    t = licenses.TEMPLATES
+    mit, apache = t["MIT"][2], t["Apache-2.0"][1]
+    mit = mit.replace(" The above copyright", "\n\nThe above copyright").replace(" THE SOFTWARE IS PROVIDED", "\n\nTHE SOFTWARE IS PROVIDED")
+    apache = " * " + apache.replace(" http:", "\n *\n * http:").replace(" Unless", "\n *\n * Unless")
+    rows = [(i, "Words of a page.\n\n" + x + "\n\nAnd many more words " * 40) for i, x in enumerate((mit, apache))]
+    got = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(0, "MIT"), (1, "Apache-2.0")} <= got

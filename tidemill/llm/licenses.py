@@ -48,6 +48,16 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 
+# parts that stand between blank lines in texts as they are really written: each is a unit, and a template, of its own
+TEMPLATES["MIT"] += [TEMPLATES["MIT"][2][: TEMPLATES["MIT"][2].index(" The above copyright")], "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", _AS_IS]
+TEMPLATES["Apache-2.0"] += [TEMPLATES["Apache-2.0"][1][: TEMPLATES["Apache-2.0"][1].index(" http:")], "http://www.apache.org/licenses/LICENSE-2.0", TEMPLATES["Apache-2.0"][1][TEMPLATES["Apache-2.0"][1].index("Unless") :]]
+for _name, _use in (("BSD-2-Clause", _BSD_USE), ("BSD-3-Clause", _BSD_USE), ("BSD-3-Clause", _BSD_NAME)):
+    TEMPLATES[_name] += [x.strip() for x in re.split(r"(?<=met:) |(?<=disclaimer\.) ", _use)]
+for _name in ("BSD-2-Clause", "BSD-3-Clause"):
+    TEMPLATES[_name].append(_BSD_END.strip())
+TEMPLATES["ISC"] += [TEMPLATES["ISC"][0][: TEMPLATES["ISC"][0].index(" THE SOFTWARE")], TEMPLATES["ISC"][0][TEMPLATES["ISC"][0].index("THE SOFTWARE") :]]
+
+
 def normalise(text: str) -> str:
     return re.sub("[^a-z0-9]+", " ", text.lower()).strip()
 
