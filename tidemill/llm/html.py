@@ -3,7 +3,9 @@
 Each page's containers are scored by the text they hold outside links and boilerplate. A page's
 votes, shares of its score by generalised tag-class path, are summed by host in Spark; the path with most
 votes is the host's. Pages are then extracted anew along their host's path; a page without such a container, or
-without a host, goes by its own best one.
+without a host, goes by its own best one. From there extraction climbs to the outermost article or main, or else to the
+highest container with text of its own next to the way up: headings, paragraphs, lists, tables, quotes, sections. The
+page itself is a container, with path "/".
 """
 
 from __future__ import annotations
@@ -35,17 +37,20 @@ SKIP_WORD = frozenset(
 SKIP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: What of a container's score its parent has too, and so on upwards.
 UP = 0.5
+#: Containers that are parts of a text, not the whole of it.
+PART = frozenset("section table ul ol dl blockquote".split())
 #: Hosts whose paths may be broadcast, and votes that a task combines.
 HOSTS = 100_000
 
 
 class Page:
-    """nodes: (path, parent); blocks: (node, pieces of raw text, characters in links) outside boilerplate, in page order."""
+    """nodes: (path, parent), and their tags; blocks: (node, pieces of raw text, characters in links) outside boilerplate, in page order."""
 
-    __slots__ = ("blocks", "nodes")
+    __slots__ = ("blocks", "nodes", "tags")
 
     def __init__(self, text: str) -> None:
-        self.nodes: list[tuple[str, int]] = [("", -1)]
+        self.nodes: list[tuple[str, int]] = [("/", -1)]
+        self.tags: list[str] = [""]
         self.blocks: list[tuple[int, list[str], int]] = []
         self._read(text)
 
@@ -108,7 +113,8 @@ class Page:
                 at = n if end is None else end.start()
                 skip = True
             if tag in CONTAINER and not skip:
-                self.nodes.append((f"{self.nodes[node][0]}/{'.'.join([tag, *words])}", node))
+                self.nodes.append((f"{self.nodes[node][0].rstrip('/')}/{'.'.join([tag, *words])}", node))
+                self.tags.append(tag)
                 node = len(self.nodes) - 1
             if not attributes.rstrip().endswith("/") or tag in BLOCK or tag in RAW:
                 stack.append((tag, node, skip, link or tag == "a"))
@@ -160,11 +166,28 @@ class Page:
         """(path, millionths of the page's score)."""
         by: dict[str, float] = {}
         for (path, _), s in zip(self.nodes, self.scores()):  # noqa: B905
-            if path and s > 0:
+            if s > 0:
                 by[path] = by.get(path, 0.0) + s
         total = sum(by.values())
         return [(p, round(1e6 * s / total)) for p, s in by.items()]
 
+    def _climb(self, node: int) -> int:
+        """The ancestor of a node, or the node itself, that holds the text next to it."""
+        scores = self.scores()
+        direct, beside = [False] * len(self.nodes), [[] for _ in self.nodes]
+        for i, pieces, links in self.blocks:
+            direct[i] = direct[i] or sum(len(p.strip()) for p in pieces) > 2 * links
+        for i in range(1, len(self.nodes)):
+            if scores[i] > 0 and self.tags[i] in PART:
+                beside[self.nodes[i][1]].append(i)
+        top, way = node, [node]
+        while (up := self.nodes[way[-1]][1]) >= 0:
+            if direct[up] or self.tags[way[-1]] in PART or any(i != way[-1] for i in beside[up]):
+                top = up
+            way.append(up)
+        articles = [i for i in way if self.tags[i] in ("article", "main")]
+        return articles[-1] if articles else top
+
     def text(self, path: str | None) -> tuple[str, str | None]:
         """The page's text along a path, and the path that was used."""
         paths = {p for p, _ in self.nodes}
@@ -174,6 +197,7 @@ class Page:
         parents = {self.nodes[i][1] for i in chosen}
         if len(chosen) > 1 and len(parents) == 1:  # parts of one article, with what stands between them
             chosen = [*parents]
+        chosen = {self._climb(i) for i in chosen}
         inside = [False] * len(self.nodes)
         for i, (_, parent) in enumerate(self.nodes):
             inside[i] = path is None or i in chosen or parent >= 0 and inside[parent]
