@@ -36,3 +36,10 @@ def test_nested_sections_equal_brute_force():
 
         assert text(f"<body><nav>menu</nav><article>{part(3)}</article></body>") == want
     assert text(f"<p>{LONG}</p><p>short</p>") == [LONG.strip(), "short"]
+
+
+def test_only_whole_classes_and_hidden_as_a_name_leave_out():
+    for open_, close in (("<div class='content has-sidebar'>", "</div>"), ("<div class='no-comments'>", "</div>"), ("<section id=search>", "</section>"), ("<div class='entry-header'>", "</div>"), ("<div title='a hidden gem'>", "</div>"), ("<article data-title='The hidden one'>", "</article>"), ("<div class=widget>", "</div>")):
+        assert text(f"<body>{open_}<h2 id='related-work'>Head</h2><p>{LONG}</p>{close}</body>") == ["Head", LONG.strip()], open_
+    for open_ in ("<div class='box sidebar'>", "<div id=comments>", "<div hidden>", "<p hidden=''>", "<div class='site-footer'>"):
+        assert text(f"<body><article><p>{LONG}</p>{open_}out</article></body>") == [LONG.strip()], open_

@@ -22,18 +22,23 @@ from .common import cut, table
 
 # quoted values may hold ">"; neither form reads beyond the next "<", so a page is read once
 TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<[/!?a-zA-Z][^<>]*>|[^<]+|<")
+VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 RAW = {t: re.compile(f"</{t}", re.IGNORECASE) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINER = frozenset("body div section article main aside nav header footer form table ul ol dl blockquote".split())
 BLOCK = CONTAINER | frozenset("html head p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption pre figure figcaption fieldset address hr details summary hgroup center option".split())
-#: Tags, class or id words, and roles of what is not the article.
+#: Tags, whole classes (also whole ids of blocks but sections, whose ids are anchors), and roles of what is not the article.
 SKIP_TAG = frozenset("head title nav aside header footer form button select menu dialog svg object audio video canvas noscript script style template iframe textarea".split())
 SKIP_WORD = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay"
     " nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar header masthead footer social share sharing related recommended newsletter subscribe signup login search"
     " comment comments commentlist disqus reply replies respond widget skip".split()
 )
+SKIP_WORD |= {f"{a}-{b}" for a in ("site", "page") for b in SKIP_WORD}
+#: What neither classes nor ids leave out; and how many times the text that stays they may leave out of a page.
+EXEMPT = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+MOST = 4
 SKIP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: What of a container's score its parent has too, and so on upwards.
 UP = 0.5
@@ -49,14 +54,18 @@ class Page:
     __slots__ = ("blocks", "nodes", "tags")
 
     def __init__(self, text: str) -> None:
+        kept, lost = self._read(text, words=True)
+        if lost > MOST * kept:
+            self._read(text, words=False)
+
+    def _read(self, text: str, words: bool) -> tuple[int, int]:
+        """Characters that stay, and those that are left out by classes and ids alone, which count only if `words`."""
         self.nodes: list[tuple[str, int]] = [("/", -1)]
         self.tags: list[str] = [""]
         self.blocks: list[tuple[int, list[str], int]] = []
-        self._read(text)
-
-    def _read(self, text: str) -> None:
-        # of an open element: tag, node, whether it is left out, whether it is in a link
-        stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        kept = lost = 0
+        # of an open element: tag, node, whether it is left out (1, or 2 by its class or id), whether it is in a link
+        stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
         pieces: list[str] = []
         links = at = 0
 
@@ -80,8 +89,11 @@ class Page:
                 elif raw[0] != "<" or raw == "<":
                     if not stack[-1][2]:
                         pieces.append(raw)
+                        kept += len(raw.strip())
                         if stack[-1][3]:
                             links += len(raw)
+                    elif stack[-1][2] == 2:
+                        lost += len(raw.strip())
                 continue
             tag = name.lower()
             if m[1]:
@@ -104,21 +116,24 @@ class Page:
                 continue
             _, node, skip, link = stack[-1]
             attributes = m[3]
-            words: list[str] = []
-            if attributes and not skip:
-                skip, words = self._skips(tag, attributes)
-            skip = skip or tag in SKIP_TAG
+            classes: list[str] = []
+            if attributes and skip != 1:
+                by, classes = self._skips(tag, attributes)
+                skip = 1 if by == 1 else skip or (by if words else 0)
+            if tag in SKIP_TAG:
+                skip = 1
             if tag in RAW:
                 end = RAW[tag].search(text, at)
                 at = n if end is None else end.start()
-                skip = True
+                skip = 1
             if tag in CONTAINER and not skip:
-                self.nodes.append((f"{self.nodes[node][0].rstrip('/')}/{'.'.join([tag, *words])}", node))
+                self.nodes.append((f"{self.nodes[node][0].rstrip('/')}/{'.'.join([tag, *classes])}", node))
                 self.tags.append(tag)
                 node = len(self.nodes) - 1
             if not attributes.rstrip().endswith("/") or tag in BLOCK or tag in RAW:
                 stack.append((tag, node, skip, link or tag == "a"))
         flush()
+        return kept, lost
 
     @staticmethod
     def _close_implied(stack: list, tag: str) -> None:
@@ -137,21 +152,21 @@ class Page:
                 return
 
     @staticmethod
-    def _skips(tag: str, attributes: str) -> tuple[bool, list[str]]:
-        """Whether an element is boilerplate by its attributes, and its generalised classes."""
-        skip, classes = False, []
+    def _skips(tag: str, attributes: str) -> tuple[int, list[str]]:
+        """Whether an element is boilerplate by its attributes (2: by its class or id alone), and its generalised classes."""
+        skip, word, classes = 0, False, []
         for k, a, b, c in ATTRIBUTE.findall(attributes):
             k, v = k.lower(), entities.unescape(a or b or c).lower()  # noqa: PLW2901
-            if k in ("class", "id"):
-                if tag not in ("html", "body", "article", "main") and not SKIP_WORD.isdisjoint(re.split("[^a-z0-9]+", v)):
-                    skip = True
-                if k == "class":
-                    classes = sorted({re.sub("[0-9]+", "N", w) for w in v.split()})
+            if k == "class":
+                word = word or not SKIP_WORD.isdisjoint(v.split())
+                classes = sorted({re.sub("[0-9]+", "N", w) for w in v.split()})
+            elif k == "id":
+                word = word or tag in BLOCK and tag != "section" and v.strip() in SKIP_WORD
             elif k == "role" and v.strip() in SKIP_ROLE or k == "aria-hidden" and v.strip() == "true" or k == "style" and re.search(r"display\s*:\s*none", v):
-                skip = True
-        if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes, re.IGNORECASE):
-            skip = True
-        return skip, classes
+                skip = 1
+        if "hidden" in attributes.lower() and "hidden" in VALUE.sub(" ", attributes).lower().split():
+            skip = 1
+        return skip or (2 if word and tag not in EXEMPT else 0), classes
 
     def scores(self) -> list[float]:
         """Of each node: characters outside links that it holds itself, and UP of what its containers have."""
