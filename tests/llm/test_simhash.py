@@ -95,3 +95,10 @@ def test_components_of_chains_stars_and_nulls(spark):
     df = spark.createDataFrame([*links, (None, 4), (7, None)], "src long, dst long")
     assert {r.node: r.root for r in components(df).collect()} == {n: r for n, r in want.items() if any(n in l and l[0] != l[1] for l in links)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_one_id_of_different_texts_loses_no_class(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in ("alpha", "beta", "gamma"))
+    for rows in ([(3, a), (5, a), (5, b)], [(3, a), (5, b), (5, a), (5, c), (5, c)]):
+        got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(1)).collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted({(3, a)} | {r for r in rows if r[1] != a})

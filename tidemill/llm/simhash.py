@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of `docs`, unchanged, that stand for their class: one of each.
 
-    Ids that stand for a class select rows by a semi-join. Rows that repeat such an id give one row. A
+    Ids that stand for a class select rows by a semi-join, repeated ids together with the class's least
+    fingerprint that has the id; rows that repeat both give one row. A
     class whose ids are all null keeps one of its rows.
     """
     rows, by_fp = classes(fingerprints(docs, id_col, text_col), radius)
@@ -231,8 +232,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and id is not null").select(F.col("id").alias("__twice"))
     out = docs.join(least, docs[id_col] == least["__least"], "left_semi")
     if twice.limit(1).count():
-        mark = out.select(F.struct("*").alias("row"), out[id_col].alias("__id")).join(twice, F.col("__id") == twice["__twice"], "left")
-        more = mark.filter("__twice is not null").groupBy("__id").agg(F.first("row").alias("row")).select("row.*")
+        mark = out.select(F.struct("*").alias("row"), out[id_col].alias("__id"), out[text_col].cast("string").alias("t_")).join(twice, F.col("__id") == twice["__twice"], "left")
+        stands = rows.join(twice, F.col("id") == F.col("__twice")).join(by_fp, "fp").filter("id = component_id").groupBy("root").agg(F.min("id").alias("__id"), F.min("fp").alias("fp"))
+        again = _with_fingerprint(mark.filter("__twice is not null")).join(stands.select("__id", "fp"), ["__id", "fp"], "left_semi")
+        more = again.groupBy("__id", "fp").agg(F.first("row").alias("row")).select("row.*")
         out = mark.filter("__twice is null").select("row.*").unionByName(more)
     if rows.filter("id is null").limit(1).count():
         lone = by_fp.filter("component_id is null").select("fp", "root")
