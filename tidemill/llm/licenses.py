@@ -1,61 +1,33 @@
 """Licence scans: normalised text against templates by the Dice coefficient of word bigrams.
 
-Units are lines, paragraphs of two lines or more, and documents of two paragraphs or more. A unit of n
-different bigrams can reach a coefficient t only with templates of n * t / (2 - t) to n * (2 - t) / t
-bigrams, so templates are looked up by size in a small table and most units meet none. DataFrame
-expressions only; no shuffle.
+A text's words are compared wherever they stand, in lines, paragraphs, comments or amid other words. A window starts and
+ends at bigrams that a template of m different bigrams has, and spans at most what a coefficient t allows,
+m * (2 - t) / t bigrams; of the windows that start at one place the best counts, and of windows that
+overlap the best is told. A coefficient of t takes at least m * t / (2 - t) of the template's bigrams: a text that holds fewer
+different ones never meets the template, and one that holds no word of those that so many bigrams cannot do without is
+left out by one look at it. Both bounds are exact. DataFrame expressions only; no shuffle.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound, sealed, table
+from .licence_texts import TEMPLATES
 
 THRESHOLD = 0.8
-
-_CC = {f"CC-BY{k}-{v}": [f"Licensed under CC BY{k} {v}", f"This work is licensed under a Creative Commons {n} {v} License"] for k, n in {"": "Attribution", "-SA": "Attribution ShareAlike", "-NC": "Attribution NonCommercial", "-ND": "Attribution NoDerivatives", "-NC-SA": "Attribution NonCommercial ShareAlike", "-NC-ND": "Attribution NonCommercial NoDerivatives"}.items() for v in ("2.0", "3.0", "4.0")}
-_GNU = {f"{s}-{v}.0": [f"This work is licensed under the GNU {n} General Public License, version {v}", f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {n} General Public License as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version."] for s, n, vs in (("GPL", "", (2, 3)), ("LGPL", "Lesser", (3,)), ("AGPL", "Affero", (3,))) for v in vs}
-_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
-_BSD_USE = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
-_BSD_NAME = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
-_BSD_END = ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'
-
-#: Licence -> notices and texts. Publicly known wordings.
-TEMPLATES: dict[str, list[str]] = {
-    "MIT": [
-        "Released under the MIT License",
-        "Licensed under the MIT License",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. ' + _AS_IS,
-    ],
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
-    ],
-    "BSD-2-Clause": ["Licensed under the BSD 2 Clause License", _BSD_USE + _BSD_END],
-    "BSD-3-Clause": ["Licensed under the BSD 3 Clause License", _BSD_USE + _BSD_NAME + _BSD_END],
-    "ISC": ['Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "Dedicated to the public domain under CC0 1.0"],
-    "proprietary": ["All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher", "All rights reserved"],
-    **_GNU,
-    **_CC,
-}
-
-
-# parts that stand between blank lines in texts as they are really written: each is a unit, and a template, of its own
-TEMPLATES["MIT"] += [TEMPLATES["MIT"][2][: TEMPLATES["MIT"][2].index(" The above copyright")], "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", _AS_IS]
-TEMPLATES["Apache-2.0"] += [TEMPLATES["Apache-2.0"][1][: TEMPLATES["Apache-2.0"][1].index(" http:")], "http://www.apache.org/licenses/LICENSE-2.0", TEMPLATES["Apache-2.0"][1][TEMPLATES["Apache-2.0"][1].index("Unless") :]]
-for _name, _use in (("BSD-2-Clause", _BSD_USE), ("BSD-3-Clause", _BSD_USE), ("BSD-3-Clause", _BSD_NAME)):
-    TEMPLATES[_name] += [x.strip() for x in re.split(r"(?<=met:) |(?<=disclaimer\.) ", _use)]
-for _name in ("BSD-2-Clause", "BSD-3-Clause"):
-    TEMPLATES[_name].append(_BSD_END.strip())
-TEMPLATES["ISC"] += [TEMPLATES["ISC"][0][: TEMPLATES["ISC"][0].index(" THE SOFTWARE")], TEMPLATES["ISC"][0][TEMPLATES["ISC"][0].index("THE SOFTWARE") :]]
+#: Words of most prose (of languages other than English too), and words of much of it: both say little of a licence.
+FREQUENT = frozenset("a above all an and any are as at be being but by can do either even first for form free from general have however http https if in is it its later made may means met mit more must nd no not of on one or other out part sa same see so such that the their this to under use used v was we whether will with without work would you your".split())
+COMMON = frozenset(
+    "act action advised agreed anyone appear applicable applications arising author authors based basis benefit binary business caused charge claim code commercial conditions connection contract copies copy covered damage damages data deal details direct display distributed documentation entire event"
+    " except execute express extent fee file files following forms future granted has held hereby holders hope implied included including interest language law liable limited loss name names notice obtain obtaining option order organization original particular parties permit permitted person possible prior"
+    " product products profits program promote provided public published purpose receive received released required restriction rights services shall software source special specific subject substantial terms title useful version way whom works writing written".split()
+)
 
 
 def normalise(text: str) -> str:
@@ -73,43 +45,99 @@ def template_rows() -> list[tuple[str, int, list[str]]]:
 
 
 def bounds(size: int, t: float = THRESHOLD) -> tuple[int, int]:
-    """Sizes of bigram sets that can reach t with one of this size."""
+    """Sizes of bigram sets that can reach t with one of this size; the lesser is also the least number of common bigrams."""
     return math.ceil(size * t / (2 - t) - 1e-9), math.floor(size * (2 - t) / t + 1e-9)
 
 
+def anchors(rows: list[tuple[str, int, list[str]]], t: float = THRESHOLD) -> list[str]:
+    """Words such that any text that reaches t with a template holds one: without them too few of its bigrams are left."""
+    chosen: set[str] = set()
+    for _, _, grams in sorted(rows, key=lambda r: len(r[2])):
+        least = bounds(len(grams), t)[0]
+        left = [g for g in grams if chosen.isdisjoint(g.split())]
+        while len(left) >= least:
+            held = Counter(w for g in left for w in set(g.split()))
+            word = min(held, key=lambda w: (2 if w in FREQUENT or w.isdigit() else w in COMMON, -held[w], w))
+            chosen.add(word)
+            left = [g for g in left if word not in g.split()]
+    return sorted(chosen)
+
+
+def one_of(words: list[str]) -> str:
+    """A pattern of any of the words, as a tree of their letters: what does not fit goes at the first letter that differs."""
+    tree: dict = {}
+    for w in words:
+        at = tree
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def told(at: dict) -> str:
+        more = [c + told(at[c]) for c in sorted(at) if c]
+        whole = more[0] if len(more) == 1 else f"(?:{'|'.join(more)})" if more else ""
+        return whole if "" not in at or not more else f"(?:{'|'.join(more)})?+"
+
+    return f"(?<![a-z0-9]){told(tree)}(?![a-z0-9])"
+
+
+def _hits(them: Column, grams: Column) -> Column:
+    """Of a row's marked bigrams (g, i), those of a template, by place, with `prev`: the place of the same bigram before, -1 if there is none."""
+    mine = F.array_sort(F.filter(grams, lambda h: F.array_contains(them, h["g"])))
+    with_prev = bound(mine, lambda s: F.transform(s, lambda h, j: F.struct(h["i"].alias("i"), F.when((j > 0) & F.coalesce(F.get(s, j - 1)["g"] == h["g"], F.lit(False)), F.get(s, j - 1)["i"]).otherwise(-1).alias("prev"))))
+    return F.array_sort(with_prev)
+
+
+def _best_end(start: Column, span: Column, m: Column) -> Column:
+    """(end, common): the end of a window from `start` that makes most of its length: common bigrams twice, by its own number of bigrams and the template's. Ties go to the shorter one."""
+    zero = F.struct(F.lit(0).alias("d"), F.lit(0.0).cast("double").alias("s"), F.lit(-1).alias("end"), F.lit(0).alias("common"))
+
+    def step(a: Column, h: Column) -> Column:
+        d = a["d"] + F.when(h["prev"] < start, 1).otherwise(0)
+        s = (2.0 * d).cast("double") / (h["i"] - start + 1 + m)
+        return F.struct(d.alias("d"), F.greatest(s, a["s"]).alias("s"), F.when(s > a["s"], h["i"]).otherwise(a["end"]).alias("end"), F.when(s > a["s"], d).otherwise(a["common"]).alias("common"))
+
+    return F.aggregate(span, zero, step)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each unit and template at or above the threshold: id, unit ('line', 'paragraph', 'document'), unit_no, license, template, dice.
+    """One row for each place of a text where a template is met: id, start and n_words (the window, in words from 0), license, template, dice.
 
-    unit_no: of lines with a word, and of runs of such lines, from 0. Null and empty texts give no row; null
-    ids are carried; repeated rows give their rows each; other columns are not read; an empty
-    table gives an empty result.
+    Of windows of one template that overlap, the one with the greatest coefficient counts, the first of equal ones. Null
+    and empty texts give no row; null ids are carried; repeated rows give their rows each; other columns are not read; an
+    empty table gives an empty result.
     """
-    spark = docs.sparkSession
     rows = template_rows()
-    # sizes and bigrams of a fixed list of templates: small whatever the input
-    by_size = spark.createDataFrame([(n, i) for i, (_, _, b) in enumerate(rows) for n in range(bounds(len(b), threshold)[0], bounds(len(b), threshold)[1] + 1)], "n_ int, t_ int")
-    texts = spark.createDataFrame([(i, name, no, b) for i, (name, no, b) in enumerate(rows)], "i_ int, license string, template int, them array<string>")
-    least, most = min(bounds(len(b), threshold)[0] for *_, b in rows), max(bounds(len(b), threshold)[1] for *_, b in rows)
-
-    plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), "[^a-z0-9\\n]+", " ")
-    x = docs.select(F.col(id_col).alias("id"), F.regexp_replace(F.regexp_replace(F.trim(plain, F.lit(" \n")), " ?\\n ?", "\n"), "\\n{3,}", "\n\n").alias("p"))
-    x = x.filter("p <> ''").withColumn("paragraphs", F.split("p", "\n\n"))
-    unit = lambda kind, a: F.transform(a, lambda t, i: F.struct(F.lit(kind).alias("unit"), i.alias("no"), t.alias("t")))
-    many = F.filter(unit("paragraph", F.col("paragraphs")), lambda u: F.contains(u["t"], F.lit("\n")))
-    whole = F.when(F.size("paragraphs") > 1, unit("document", F.array("p"))).otherwise(F.array().cast("array<struct<unit:string,no:int,t:string>>"))
-    lines = unit("line", F.filter(F.split("p", "\n"), lambda t: t != ""))
-    x = x.select("id", F.explode(F.concat(lines, many, whole)).alias("u")).select("id", "u.unit", "u.no", F.split(F.regexp_replace("u.t", "\n+", " "), " ").alias("w"))
-    # A unit of d different words has at least d - 1 different bigrams, and of v words that any template has at most v - 1
-    # that a template has too. A coefficient of t takes t / (2 - t) of the unit's bigrams, so units with too few such
-    # words, or too many different ones, go before a bigram is made: exact, and most prose goes here.
-    words = sorted({w for *_, b in rows for g in b for w in g.split()})
-    x = x.withColumn("d", F.size(F.array_distinct("w"))).withColumn("v", F.size(F.filter("w", lambda t: t.isin(words))))
-    x = sealed(x).filter((F.size("w") - 1 >= least) & (F.col("d") - 1 <= most) & ((F.col("v") - 1) * (2 - threshold) >= (F.col("d") - 1) * threshold - 1e-6))
-    x = x.withColumn("b", bound(F.col("w"), lambda w: F.array_distinct(F.transform(F.slice(w, 2, F.size(w)), lambda v, i: F.concat_ws(" ", F.get(w, i), v)))))
-    x = sealed(x.withColumn("n", F.size("b"))).filter(F.col("n").between(least, most))
-    x = x.join(F.broadcast(by_size), F.col("n") == F.col("n_")).join(F.broadcast(texts), F.col("t_") == F.col("i_"))
-    x = x.withColumn("dice", 2.0 * F.size(F.array_intersect("b", "them")) / (F.col("n") + F.size("them"))).filter(F.col("dice") >= threshold)
-    return x.select(F.col("id").alias(id_col), "unit", F.col("no").cast("int").alias("unit_no"), "license", "template", F.round("dice", 6).alias("dice"))
+    words = anchors(rows, threshold)
+    low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    x = sealed(docs.select(F.col(id_col).alias("id"), low.alias("t"))).filter(F.col("t").rlike(one_of(words)))
+    x = sealed(x.select("id", F.split(F.trim(F.regexp_replace("t", "[^a-z0-9]+", " ")), " ").alias("w")))
+    x = x.withColumn("b", F.transform(F.slice("w", 2, F.size("w")), lambda v, i: F.concat_ws(" ", F.get(F.col("w"), i), v)))
+    known = sorted({g for *_, b in rows for g in b})
+    x = x.withColumn("h", F.filter(F.transform("b", lambda g, i: F.struct(g.alias("g"), i.alias("i"))), lambda h: h["g"].isin(known)))
+    x = x.withColumn("seen", F.array_distinct(F.transform("h", lambda h: h["g"])))
+    # a fixed list of templates: m different bigrams, the least common ones, the widest window
+    fixed = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(no).alias("template"), F.lit(len(b)).alias("m"), F.lit(bounds(len(b), threshold)[0]).alias("least"), F.lit(bounds(len(b), threshold)[1]).alias("most"), F.array(*[F.lit(g) for g in b]).alias("them")) for name, no, b in rows])
+    met = F.filter(fixed, lambda t: (F.size("seen") >= t["least"]) & (F.size(F.array_intersect(t["them"], F.col("seen"))) >= t["least"]))
+    x = x.select("id", "b", "h", F.explode(met).alias("t")).select("id", "b", "t.*", _hits(F.col("t.them"), F.col("h")).alias("h"))
+
+    def window(h: Column, j: Column) -> Column:
+        start = h["i"]
+        span = F.filter(F.slice(F.col("h"), j + 1, F.col("most")), lambda e: e["i"] < start + F.col("most"))
+        best = lambda e: F.struct(start.alias("start"), e["end"].alias("end"), (2.0 * e["common"]).cast("double").alias("twice"), e["common"].alias("common"))
+        return F.when(F.size(span) >= F.col("least"), bound(_best_end(start, span, F.col("m")), best))
+
+    found = F.filter(F.transform("h", window), lambda v: F.coalesce(v["common"] >= F.col("least"), F.lit(False)))
+    size = lambda v: F.size(F.array_distinct(F.slice(F.col("b"), v["start"] + 1, v["end"] - v["start"] + 1)))
+    x = sealed(x.withColumn("v", found)).filter(F.size("v") > 0)
+    scored = F.filter(F.transform("v", lambda v: F.struct(v["start"].alias("start"), v["end"].alias("end"), (v["twice"] / (size(v) + F.col("m"))).alias("dice"))), lambda v: v["dice"] >= threshold)
+    x = x.withColumn("v", scored)
+
+    def beaten(v: Column, j: Column) -> Column:
+        near = F.slice(F.col("v"), F.greatest(j + 1 - F.col("most"), F.lit(1)), 2 * F.col("most") + 1)
+        return F.exists(near, lambda u: (u["start"] <= v["end"]) & (v["start"] <= u["end"]) & ((u["dice"] > v["dice"]) | ((u["dice"] == v["dice"]) & (u["start"] < v["start"]))))
+
+    x = x.select("id", "license", "template", F.explode(F.filter("v", lambda v, j: ~beaten(v, j))).alias("v"))
+    return x.select(F.col("id").alias(id_col), F.col("v.start").alias("start"), (F.col("v.end") - F.col("v.start") + 2).alias("n_words"), "license", "template", F.round("v.dice", 6).alias("dice"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,19 +146,24 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    values = ",\n".join(f"('{name}', {no}, [{', '.join(repr(x) for x in b)}])" for name, no, b in template_rows())
+    values = ",\n".join(f"('{name}', {no}, {len(b)}, {bounds(len(b))[0]}, {bounds(len(b))[1]}, [{', '.join(repr(x) for x in b)}])" for name, no, b in template_rows())
     return f"""
-WITH t(license, template, them) AS (VALUES {values}),
-p AS (SELECT doc_id, row_number() OVER () AS r, regexp_replace(regexp_replace(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\\n]+', ' ', 'g'), ' ' || chr(10)), ' ?\\n ?', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g') AS p FROM documents),
-s AS (SELECT doc_id, r, p, string_split(p, chr(10) || chr(10)) AS ps, list_filter(string_split(p, chr(10)), lambda x: x <> '') AS ls FROM p WHERE p <> ''),
-u AS (SELECT doc_id, r, 'line' AS unit, unnest(ls) AS t, unnest(range(len(ls))) AS no FROM s
-  UNION ALL SELECT * FROM (SELECT doc_id, r, 'paragraph' AS unit, unnest(ps) AS t, unnest(range(len(ps))) AS no FROM s) WHERE contains(t, chr(10))
-  UNION ALL SELECT doc_id, r, 'document', p, 0 FROM s WHERE len(ps) > 1),
-w AS (SELECT doc_id, r, unit, no, string_split(regexp_replace(t, '\n+', ' ', 'g'), ' ') AS w FROM u),
-b AS (SELECT doc_id, r, unit, no, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) BETWEEN 2 AND 2000000),
-d AS (SELECT doc_id, unit, no, license, template, 2.0 * len(list_intersect(b, them)) / (len(b) + len(them)) AS dice
-  FROM b JOIN t ON len(b) * {2 - THRESHOLD} >= len(them) * {THRESHOLD} - 1e-6 AND len(them) * {2 - THRESHOLD} >= len(b) * {THRESHOLD} - 1e-6)
-SELECT doc_id, unit, CAST(no AS INTEGER) AS unit_no, license, template, round(CAST(dice AS DOUBLE), 6) AS dice FROM d WHERE dice >= {THRESHOLD}"""
+WITH t(license, template, m, least, most, them) AS (VALUES {values}),
+tg AS (SELECT license, template, m, least, most, unnest(them) AS g FROM t),
+d AS (SELECT doc_id, row_number() OVER () AS r, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents),
+b AS (SELECT doc_id, r, i, w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, r, w, unnest(range(len(w) - 1)) AS i FROM d)),
+h AS (SELECT r, license, template, m, least, most, b.g, i, coalesce(lag(i) OVER (PARTITION BY r, license, template, b.g ORDER BY i), -1) AS prev FROM b JOIN tg ON b.g = tg.g),
+ok AS (SELECT r, license, template FROM h GROUP BY ALL HAVING count(DISTINCT g) >= any_value(least)),
+k AS (SELECT h.* FROM h JOIN ok USING (r, license, template)),
+e AS (SELECT p.r, p.license, p.template, p.m, p.least, p.i AS s, q.i AS e,
+        sum(CASE WHEN q.prev < p.i THEN 1 ELSE 0 END) OVER (PARTITION BY p.r, p.license, p.template, p.i ORDER BY q.i) AS d
+      FROM k p JOIN k q ON p.r = q.r AND p.license = q.license AND p.template = q.template AND q.i >= p.i AND q.i < p.i + p.most),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r, license, template, s ORDER BY 2.0::DOUBLE * d / (e - s + 1 + m) DESC, e) AS rn FROM e) WHERE rn = 1 AND d >= least),
+n AS (SELECT best.r, license, template, s, e, 2.0::DOUBLE * any_value(d) / (count(DISTINCT b.g) + any_value(m)) AS dice
+      FROM best JOIN b ON b.r = best.r AND b.i BETWEEN s AND e GROUP BY best.r, license, template, s, e),
+v AS (SELECT * FROM n WHERE dice >= {THRESHOLD})
+SELECT d.doc_id, CAST(v.s AS INTEGER) AS start, CAST(v.e - v.s + 2 AS INTEGER) AS n_words, v.license, v.template, round(v.dice, 6) AS dice FROM v JOIN d ON d.r = v.r
+WHERE NOT EXISTS (SELECT 1 FROM v u WHERE u.r = v.r AND u.license = v.license AND u.template = v.template AND u.s <= v.e AND v.s <= u.e AND (u.dice > v.dice OR (u.dice = v.dice AND u.s < v.s)))"""
 
 
 QUERIES = {"op1_license_scan": op1_license_scan}
