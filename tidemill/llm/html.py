@@ -20,15 +20,17 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-# quoted values may hold ">"; neither form reads beyond the next "<", so a page is read once
-TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<[/!?a-zA-Z][^<>]*>|[^<]+|<")
-VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# a quote opens a value only after "="; quoted values may hold "<" and ">", unquoted ones quotes. A quote that nothing closes counts as any other character
+TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>|<[/!?a-zA-Z][^<>]*+>|[^<]++|<")
+#: For a page in which some tag never ends: no value holds a bracket, so what is behind is not read again for each tag.
+PLAIN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>|<[/!?a-zA-Z][^<>]*+>|[^<]++|<")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
+CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 RAW = {t: re.compile(f"</{t}", re.IGNORECASE) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINER = frozenset("body div section article main aside nav header footer form table ul ol dl blockquote".split())
 BLOCK = CONTAINER | frozenset("html head p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption pre figure figcaption fieldset address hr details summary hgroup center option".split())
-#: Tags, whole classes (also whole ids of blocks but sections, whose ids are anchors), and roles of what is not the article.
+#: Tags, whole classes (and whole ids of blocks), and roles of what is not the article.
 SKIP_TAG = frozenset("head title nav aside header footer form button select menu dialog svg object audio video canvas noscript script style template iframe textarea".split())
 SKIP_WORD = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay"
@@ -36,6 +38,9 @@ SKIP_WORD = frozenset(
     " comment comments commentlist disqus reply replies respond widget skip".split()
 )
 SKIP_WORD |= {f"{a}-{b}" for a in ("site", "page") for b in SKIP_WORD}
+SKIP_WORD |= frozenset("ad-slot ad-container cookie-banner cookie-notice cookie-consent share-buttons social-share related-posts related-articles newsletter-signup main-menu main-nav nav-menu comment-list comments-area comment-form reader-comments user-comments disqus_thread".split())
+#: Ids that leave out a section too; other ids of sections are anchors of the text.
+SECTION_ID = frozenset("comments comment-list comments-area reader-comments respond disqus_thread sidebar footer nav navigation menu".split())
 #: What neither classes nor ids leave out; and how many times the text that stays they may leave out of a page.
 EXEMPT = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 MOST = 4
@@ -76,9 +81,12 @@ class Page:
                 pieces, links = [], 0
 
         n = len(text)
-        match = TOKEN.match
+        tokens = TOKEN
         while at < n:
-            m = match(text, at)
+            m = tokens.match(text, at)
+            if tokens is TOKEN and m[2] is None and m[0][0] == "<" and text[at + 1 : at + 2].isalpha():
+                tokens = PLAIN  # this tag never ends
+                m = tokens.match(text, at)
             at = m.end()
             name = m[2]
             if name is None:
@@ -130,7 +138,7 @@ class Page:
                 self.nodes.append((f"{self.nodes[node][0].rstrip('/')}/{'.'.join([tag, *classes])}", node))
                 self.tags.append(tag)
                 node = len(self.nodes) - 1
-            if not attributes.rstrip().endswith("/") or tag in BLOCK or tag in RAW:
+            if tag in BLOCK or tag in RAW or not CLOSED.search(attributes):
                 stack.append((tag, node, skip, link or tag == "a"))
         flush()
         return kept, lost
@@ -161,11 +169,9 @@ class Page:
                 word = word or not SKIP_WORD.isdisjoint(v.split())
                 classes = sorted({re.sub("[0-9]+", "N", w) for w in v.split()})
             elif k == "id":
-                word = word or tag in BLOCK and tag != "section" and v.strip() in SKIP_WORD
-            elif k == "role" and v.strip() in SKIP_ROLE or k == "aria-hidden" and v.strip() == "true" or k == "style" and re.search(r"display\s*:\s*none", v):
+                word = word or tag in BLOCK and v.strip() in (SECTION_ID if tag == "section" else SKIP_WORD)
+            elif k == "hidden" or k == "role" and v.strip() in SKIP_ROLE or k == "aria-hidden" and v.strip() == "true" or k == "style" and re.search(r"display\s*:\s*none", v):
                 skip = 1
-        if "hidden" in attributes.lower() and "hidden" in VALUE.sub(" ", attributes).lower().split():
-            skip = 1
         return skip or (2 if word and tag not in EXEMPT else 0), classes
 
     def scores(self) -> list[float]:
@@ -207,7 +213,7 @@ class Page:
         """The page's text along a path, and the path that was used."""
         paths = {p for p, _ in self.nodes}
         if not path or path not in paths:
-            path = max(self.votes(), key=lambda x: (x[1], x[0]), default=(None, 0))[0]
+            path = min(self.votes(), key=lambda x: (-x[1], x[0]), default=(None, 0))[0]
         chosen = [i for i, (p, _) in enumerate(self.nodes) if p == path]
         parents = {self.nodes[i][1] for i in chosen}
         if len(chosen) > 1 and len(parents) == 1:  # parts of one article, with what stands between them
@@ -259,7 +265,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row for each row of `pages`: id, url, text, n_chars, path.
 
     Null html counts as empty: empty text. Null ids and urls are carried, repeated rows give a row each, other
-    columns are not read, an empty table gives an empty result. The hosts' paths are broadcast only up to `broadcast_hosts`
+    columns are not read, whatever their names, an empty table gives an empty result. Of containers of equal votes, of a host or
+    of one page, the path that sorts first counts. The hosts' paths are broadcast only up to `broadcast_hosts`
     hosts; beyond, pages are joined by host, which adaptive execution splits where one host has many.
     """
     paths = cut(host_paths(pages, url_col, html_col).select(F.col("host").alias("h_"), "path"))
