@@ -28,13 +28,32 @@ TASK_DOMAIN = {
     "pydantic_adherance": "general",
     "ascii_tree_formatting": "general",
 }
-SUBSOURCE_WORDS = [
-    (["python algorithms", "algorithms", "leetcode", "tablegpt"], "code"),
-    (["math"], "math"),
-    (["stem"], "science"),
-    (["wildchat", "openassistant", "guanaco", "wildjailbreak", "wildguard"], "chat"),
-    (["precise if", "persona"], "instruction_following"),
-    (["identity"], "chat"),
+#: All these words in a sub-source's name -> its domain; the first that fits counts.
+SUBSOURCE_DOMAIN = [
+    (("open-thoughts/openthoughts3", "math"), "math"),
+    (("open-thoughts/openthoughts3", "stem"), "science"),
+    (("open-thoughts/openthoughts3", "code"), "code"),
+    (("nemotron", "code"), "code"),
+    (("python algorithms",), "code"),
+    (("algorithms",), "code"),
+    (("leetcode",), "code"),
+    (("tablegpt",), "code"),
+    (("math",), "math"),
+    (("stem",), "science"),
+    (("wildchat",), "chat"),
+    (("openassistant",), "chat"),
+    (("guanaco",), "chat"),
+    (("wildjailbreak",), "chat"),
+    (("wildguard",), "chat"),
+    (("precise if",), "instruction_following"),
+    (("persona",), "instruction_following"),
+    (("identity",), "chat"),
+]
+#: Words in a prompt that name its domain, in this order; any other prompt is 'reasoning'.
+PROMPT_DOMAIN = [
+    (["def ", "class ", "import ", "#include", "public static", "console.log", "function "], "code"),
+    (["leetcode", "complexity", "big-o", "time complexity", "runtime", "compile", "debug"], "code"),
+    (["integral", "derivative", "solve for", "∫", "√", "π", "equation", "matrix", "proof"], "math"),
 ]
 DOMAIN_WORDS = {
     "code": ["def ", "function", "algorithm", "implement", "class ", "array", "string", "loop", "recursion", "complexity", "data structure", "binary", "sort", "graph ", "stack", "queue", "sql", "database", "api", "python", "javascript", "program"],
@@ -47,6 +66,8 @@ INSTRUCTION_DOMAIN = {
     "reasoning": ["natural_reasoning", "infinityinstruct", "generalthought - feb25", "generalthought-feb25", "openthoughts", "dolphin - r1", "dolphin-r1", "data_ablation_full59k", "bespoke17k", "am-0309"],
 }
 REASONING_OF = {"code": "procedural", "math": "deductive", "science": "explanatory", "chat": "dialogue-based"}
+REASONING_WITH_REASONING = {**REASONING_OF, "reasoning": "deductive"}
+REASONING_OF_NAMED = {"math": "deductive", "science": "explanatory", "code": "procedural", "general": "inductive"}
 LANGUAGE_CODES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "italian": "it", "portuguese": "pt", "dutch": "nl", "polish": "pl", "japanese": "ja", "chinese": "zh", "russian": "ru", "swedish": "sv", "czech": "cs", "greek": "el", "korean": "ko", "arabic": "ar", "turkish": "tr"}
 ROLES = {"human": "user", "gpt": "assistant"}
 
@@ -126,14 +147,23 @@ def from_value(c: Column) -> Column:
 
 
 def subsource_domain(c: Column) -> Column:
-    s = F.lower(c)
-    out = F.when(s.contains("code") & (s.contains("nemotron") | s.contains("openthoughts") | s.contains("synthetic")), "code")
-    for words, domain in SUBSOURCE_WORDS:
-        for w in words:
-            out = out.when(s.contains(w), domain)
+    s, out = F.lower(c), None
+    for words, domain in SUBSOURCE_DOMAIN:
+        fits = s.contains(words[0])
+        for w in words[1:]:
+            fits = fits & s.contains(w)
+        out = F.when(fits, domain) if out is None else out.when(fits, domain)
     return out
 
 
+def prompt_domain(prompt: Column) -> Column:
+    low, out = F.lower(prompt), F.when(prompt.isNull(), F.lit(None).cast("string"))
+    for words, domain in PROMPT_DOMAIN:
+        for w in words:
+            out = out.when(low.contains(w), domain)
+    return out.otherwise("reasoning")
+
+
 def reasoning_by_domain(domain: Column) -> Column:
     return lookup(domain, REASONING_OF)
 
@@ -149,13 +179,17 @@ def first_info(m: Column, field: str) -> Column:
 
 
 def info_turns(m: Column) -> Column:
-    """Assistant turns whose think and answer parts stand in `info` are put together again."""
-    def content(t: Column) -> Column:
-        think, answer = X.strip(t["info"]["think_content"]), X.strip(t["info"]["answer_content"])
-        whole = F.concat(F.lit("<think>"), think, F.lit("</think>\n\n"), F.coalesce(F.nullif(answer, F.lit("")), t["content"]))
-        return F.when((t["role"] == "assistant") & (F.coalesce(think, F.lit("")) != "") & ~F.coalesce(t["content"].contains("<think>"), F.lit(False)), whole).otherwise(t["content"])
+    """Stripped turns without blank ones; the last assistant turn stays, and if it says no <think> itself, what `info` holds of thoughts and answer is put together in it."""
+    text = lambda c: F.coalesce(X.strip(c), F.lit(""))
 
-    return F.transform(m, lambda t: F.struct(t["role"].alias("role"), content(t).alias("content")))
+    def turn(t: Column, i: Column, last: Column) -> Column:
+        said, think, answer = text(t["content"]), text(t["info"]["think_content"]), text(t["info"]["answer_content"])
+        whole = X.strip(F.concat(F.lit("<think>"), think, F.lit("</think>\n\n"), F.when(answer != "", answer).otherwise(said)))
+        spliced = F.when(F.coalesce(i == last, F.lit(False)) & (think != "") & ~F.lower(said).contains("<think>"), whole).otherwise(said)
+        return F.struct(F.when(text(t["role"]) == "", "user").otherwise(text(t["role"])).alias("role"), spliced.alias("content"), F.coalesce(i == last, F.lit(False)).alias("stays"))
+
+    turns = F.transform(F.array(M.last_assistant_index(m)), lambda last: F.transform(m, lambda t, i: turn(t, i, last)))[0]
+    return plain(F.filter(turns, lambda t: t["stays"] | (t["content"] != "")))
 
 
 def assembled(df: DataFrame) -> Column:
@@ -167,8 +201,19 @@ def assembled(df: DataFrame) -> Column:
 
 
 def keyword_by_names(df: DataFrame, prompt: Column, think: Column) -> Column:
-    s = F.lower(F.concat_ws(" ", opt(df, "dataset_name"), opt(df, "source")))
-    return F.when(s.contains("math"), "math").when(s.contains("code"), "code").when(s.contains("science") | s.contains("stem"), "science").otherwise("general")
+    """By the upstream name, or the data set's if there is none."""
+    s = F.lower(F.coalesce(named_source(df), F.lit("")))
+    return F.when(s.contains("math"), "math").when(s.contains("code") | s.contains("program"), "code").when(s.contains("science") | s.contains("stem"), "science").otherwise("general")
+
+
+def named_source(df: DataFrame) -> Column:
+    return F.coalesce(F.nullif(opt(df, "source"), F.lit("")), opt(df, "dataset_name"))
+
+
+def stripped(c: Column) -> Column:
+    """Turns with a role, both fields without white space at the ends."""
+    turns = F.transform(c, lambda t: F.struct(F.coalesce(X.strip(t["role"]), F.lit("")).alias("role"), F.coalesce(X.strip(t["content"]), F.lit("")).alias("content")))
+    return F.filter(turns, lambda t: t["role"] != "")
 
 
 def split_adapter(split: str) -> ChatAdapter:
@@ -189,9 +234,9 @@ ADAPTERS: dict[str, ChatAdapter] = {
         ChatAdapter("out_of_band_math", lambda df: M.splice_reasoning("messages", lambda t: t["reasoning_content"]), lambda df: F.col("uuid"), pre=lambda df: F.when(X.blank(M.last("messages")["reasoning_content"]), "empty_reasoning_content"), subsource=lambda df: F.col("data_source"), domain=lambda df, p, t: F.lit("math"), reasoning_type=reasoning_by_domain, truth=lambda df: F.col("expected_answer")),
         ChatAdapter("formal_proofs", lambda df: plain(F.col("messages")), lambda df: F.col("uuid"), pre=lambda df: F.when(F.col("messages").isNull() | (F.size("messages") == 0), "no_verified_proof"), domain=lambda df, p, t: F.lit("math"), reasoning_type=reasoning_by_domain, truth=lambda df: F.col("formal_statement"), category=lambda df: F.lit("lean4_proof")),
         ChatAdapter("competitive_code", lambda df: M.splice_reasoning("messages", lambda t: t["reasoning_content"]), lambda df: F.coalesce(F.nullif(F.col("uuid"), F.lit("")), F.col("question_id").cast("string")), pre=lambda df: F.when(X.blank(M.last("messages")["reasoning_content"]), "empty_reasoning_content"), subsource=lambda df: F.col("source"), domain=lambda df, p, t: F.lit("code"), reasoning_type=reasoning_by_domain, difficulty=lambda df: F.col("difficulty")),
-        ChatAdapter("nested_info", lambda df: info_turns(F.col("messages")), lambda df: opt(df, "id"), subsource=lambda df: first_info(F.col("messages"), "source"), domain=lambda df, p, t: F.coalesce(instruction_domain(first_info(F.col("messages"), "source")), F.when(first_info(F.col("messages"), "test_case").isNotNull(), "code"), F.when(first_info(F.col("messages"), "reference_answer").isNotNull(), "math"), F.lit("general")), truth=lambda df: F.coalesce(first_info(F.col("messages"), "reference_answer"), first_info(F.col("messages"), "test_case"))),
+        ChatAdapter("nested_info", lambda df: info_turns(F.col("messages")), lambda df: F.coalesce(F.nullif(opt(df, "id"), F.lit("")), F.nullif(opt(df, "row_id"), F.lit("")), opt(df, "uuid")), subsource=lambda df: first_info(F.col("messages"), "source"), domain=lambda df, p, t: F.coalesce(instruction_domain(first_info(F.col("messages"), "source")), prompt_domain(p)), reasoning_type=lambda d: lookup(d, REASONING_WITH_REASONING), truth=lambda df: first_info(F.col("messages"), "reference_answer"), category=lambda df: first_info(F.col("messages"), "source")),
         ChatAdapter("task_typed", lambda df: plain(F.col("messages")), lambda df: F.col("problem_id"), subsource=lambda df: F.col("task_type"), domain=lambda df, p, t: lookup(F.col("task_type"), TASK_DOMAIN, F.lit("general")), reasoning_type=lambda d: F.lit("deductive"), category=lambda df: F.col("task_type")),
-        ChatAdapter("named_english", lambda df: plain(F.col("messages")), lambda df: F.col("ds_uid"), subsource=lambda df: F.col("source"), domain=keyword_by_names, source_dataset=lambda df: F.col("dataset_name")),
-        ChatAdapter("named_multilingual", lambda df: plain(F.col("messages")), lambda df: F.col("ds_uid"), pre=lambda df: F.when(X.blank("language"), "missing_language"), subsource=lambda df: F.col("source"), language=lambda df: F.coalesce(lookup(F.lower(X.strip("language")), LANGUAGE_CODES), F.substring(F.lower(X.strip("language")), 1, 2)), domain=keyword_by_names, source_dataset=lambda df: F.concat_ws("/", "dataset_name", F.col("ds_uid").cast("string"))),
+        ChatAdapter("named_english", lambda df: stripped(F.col("messages")), lambda df: F.col("ds_uid"), subsource=named_source, domain=keyword_by_names, reasoning_type=lambda d: lookup(d, REASONING_OF_NAMED), source_dataset=lambda df: F.col("dataset_name")),
+        ChatAdapter("named_multilingual", lambda df: stripped(F.col("messages")), lambda df: F.col("ds_uid"), pre=lambda df: F.when(X.blank("language"), "missing_language"), subsource=named_source, language=lambda df: F.coalesce(lookup(F.lower(X.strip("language")), LANGUAGE_CODES), F.substring(F.lower(X.strip("language")), 1, 2)), domain=keyword_by_names, reasoning_type=lambda d: lookup(d, REASONING_OF_NAMED), source_dataset=lambda df: F.coalesce(F.concat(F.col("dataset_name"), F.lit("/"), F.col("ds_uid").cast("string")), F.col("dataset_name"))),
     )
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str.strip() knows it; Spark's trim() knows U+0020 alone.
 WS = "[\\s\\x1c-\\x1f\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Role words that carry nothing in a blocking key.
 ROLE_WORDS = ["user", "assistant", "system"]
 EMPTY_HEAD = "__EMPTY__"
@@ -17,13 +18,13 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Without white space at either end."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    """Without white space at either end: one pass from each, however long the runs inside are."""
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def blank(c: Column | str) -> Column:
-    """Null, or nothing but white space."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    """Null, or nothing but white space: read up to the first other character."""
+    return ~F.coalesce(col(c).rlike(f"[^{WS[1:-1]}]"), F.lit(False))
 
 
 def ws_norm(c: Column | str) -> Column:
@@ -81,9 +82,9 @@ def missing(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit("__MISSING__"))
 
 
-def one_line(c: Column | str, most: int = 2000) -> Column:
-    """On one line, cut to `most` characters: what a model reads."""
-    return F.substring(ws_norm(c), 1, most)
+def one_line(c: Column | str, most: int | None = None) -> Column:
+    """On one line; cut to `most` characters, if given, for models that read no more."""
+    return ws_norm(c) if most is None else F.substring(ws_norm(c), 1, most)
 
 
 def split_sentences(c: Column | str) -> Column:
@@ -159,7 +160,20 @@ def is_answer_format(c: Column | str) -> Column:
     return F.coalesce(col(c).rlike("(?is)\\A\\s*<think>.*?</think>\\s*<answer>.*?</answer>\\s*\\z"), F.lit(False))
 
 
-def language_code(label: Column | str, codes: dict[str, str]) -> Column:
-    """A label's short code: by table ('__label__' and what follows '_' do not count), or its first two letters."""
-    plain = F.lower(F.regexp_replace(F.regexp_replace(col(label), "^__label__", ""), "_.*$", ""))
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]), plain), F.substring(plain, 1, 2))
+# Labels of languages with their scripts, and their short codes.
+LANGUAGE_LABELS = {
+    "eng_Latn": "en", "deu_Latn": "de", "fra_Latn": "fr", "spa_Latn": "es", "por_Latn": "pt", "ita_Latn": "it", "nld_Latn": "nl", "pol_Latn": "pl", "rus_Cyrl": "ru", "ukr_Cyrl": "uk",
+    "ces_Latn": "cs", "slk_Latn": "sk", "ron_Latn": "ro", "hun_Latn": "hu", "fin_Latn": "fi", "swe_Latn": "sv", "nor_Latn": "no", "dan_Latn": "da", "tur_Latn": "tr", "vie_Latn": "vi",
+    "ind_Latn": "id", "msa_Latn": "ms", "tha_Thai": "th", "zho_Hans": "zh", "zho_Hant": "zh", "jpn_Jpan": "ja", "kor_Hang": "ko", "ara_Arab": "ar", "arb_Arab": "ar", "heb_Hebr": "he",
+    "hin_Deva": "hi", "ben_Beng": "bn", "tam_Taml": "ta", "tel_Telu": "te", "kan_Knda": "kn", "mar_Deva": "mr", "urd_Arab": "ur", "fas_Arab": "fa", "swh_Latn": "sw", "cat_Latn": "ca",
+    "ell_Grek": "el", "bul_Cyrl": "bg", "hrv_Latn": "hr", "srp_Cyrl": "sr", "slv_Latn": "sl", "lit_Latn": "lt", "lav_Latn": "lv", "est_Latn": "et", "yue_Hant": "zh", "wuu_Hans": "zh",
+    "wuu_Hant": "zh", "hak_Hant": "zh", "nan_Hant": "zh", "nob_Latn": "no", "nno_Latn": "no", "afr_Latn": "af", "glg_Latn": "gl", "eus_Latn": "eu", "isl_Latn": "is", "mkd_Cyrl": "mk",
+    "bel_Cyrl": "be", "kaz_Cyrl": "kk", "uzb_Latn": "uz", "aze_Latn": "az", "tgl_Latn": "tl", "mya_Mymr": "my", "khm_Khmr": "km", "sin_Sinh": "si", "nep_Deva": "ne", "som_Latn": "so",
+    "amh_Ethi": "am", "hau_Latn": "ha", "yor_Latn": "yo", "ibo_Latn": "ig", "zul_Latn": "zu",
+}
+
+
+def language_code(label: Column | str, codes: dict[str, str] | None = None) -> Column:
+    """A label's short code: by table ('__label__' before it does not count), or its first two letters in lower case."""
+    plain = F.regexp_replace(col(label), "^__label__", "")
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in (codes or LANGUAGE_LABELS).items() for x in kv]), plain), F.substring(F.lower(plain), 1, 2))

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.similarity import indel_ratio, indel_ratio_column, levenshtein_ratio_column
+from ..functions.similarity import class_counts, indel_ratio, least_distance, ratio_column
+from ..session import settled
 
 
 def first_of(df: DataFrame, keys: list[str], pos: str, **carried: str) -> DataFrame:
@@ -69,6 +70,14 @@ def first_in_scope(df: DataFrame, text: Column, scope: list[str], pos: str = "po
     return y.drop("_h").withColumn("_keep", F.col("_drop_reason").isNull())
 
 
+def first_of_kept(tagged: DataFrame, text: Column, scope: list[str], pos: str, reason: str) -> DataFrame:
+    """Of rows that are kept so far the first of a text in a scope stays; the others get this reason. Rows that were dropped before own nothing and keep their reasons."""
+    x = with_first(tagged.filter("_keep").withColumn("_h", F.sha2(X.strip(text), 256)), [*scope, "_h"], pos)
+    again = F.col(pos) != F.col("_first_pos")
+    live = x.withColumn("_drop_reason", F.when(again, reason)).withColumn("_keep", ~again).select(*tagged.columns)
+    return live.unionByName(tagged.filter("not _keep"))
+
+
 @dataclass(frozen=True)
 class Blocking:
     """Candidates share the first `head` tokens, lie at most `radius` bins of `width` characters apart and differ by at most `delta` characters."""
@@ -79,37 +88,56 @@ class Blocking:
     delta: int = 40
     threshold: float = 78.0
     metric: str = "indel"
-    cap: int = 5000
+    cap: int | None = 5000
     batch: int = 20_000
 
 
-def blocked(df: DataFrame, norm: Column, p: Blocking, **columns: Column) -> DataFrame:
-    """(pos and other columns, norm, len, head, bin) of texts that are not empty: all that candidates need."""
-    x = df.select(*[c.alias(n) for n, c in columns.items()], norm.alias("norm")).filter("norm <> ''")
-    return x.withColumns({"len": F.length("norm"), "head": X.head_tokens("norm", p.head), "bin": X.length_bin("norm", p.width)})
+def blocked(df: DataFrame, norm: Column, p: Blocking, within: tuple[str, ...] = (), **columns: Column) -> DataFrame:
+    """(pos and other columns, norm, len, head, bin, counts) of texts that are not empty: all that candidates need. `within`: columns (a language) that keep their texts apart; they become part of the head."""
+    x = df.select(*[c.alias(n) for n, c in columns.items()], norm.alias("norm"), *[F.col(w).cast("string").alias(f"_w{i}") for i, w in enumerate(within)]).filter("norm <> ''")
+    head = X.head_tokens("norm", p.head)
+    apart = [F.coalesce(F.concat(F.lit("="), F.col(f"_w{i}")), F.lit("null")) for i in range(len(within))]
+    x = x.withColumns({"len": F.length("norm"), "head": F.concat_ws("\u0000", *apart, head) if within else head, "bin": X.length_bin("norm", p.width), "counts": class_counts(F.col("norm"))})
+    return x.drop(*[f"_w{i}" for i in range(len(within))])
+
 
+def distance_bound(p: Blocking) -> Column:
+    """The greatest distance at which a pair of these lengths reaches the threshold."""
+    longer = F.greatest("q_len", "c_len") if p.metric == "levenshtein" else F.col("q_len") + F.col("c_len")
+    return F.floor((1 - p.threshold / 100) * longer + 1e-9)
 
-def _scored(pairs: DataFrame, p: Blocking) -> DataFrame:
-    """Pairs at or above the threshold. Lengths alone rule most others out before a text is compared; the rest are dealt out anew, as comparing costs far more than moving and a frequent head would else keep one task busy."""
-    lev = p.metric == "levenshtein"
-    bound = F.floor((1 - p.threshold / 100) * (F.greatest("q_len", "c_len") if lev else F.col("q_len") + F.col("c_len")) + 1e-9)
-    near = pairs.filter(F.abs(F.col("q_len") - F.col("c_len")) <= bound).repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q_pos", "c_pos")
-    ratio = levenshtein_ratio_column if lev else indel_ratio_column
-    return near.withColumn("score", ratio("q_norm", "c_norm")).filter(F.col("score") >= p.threshold)
+
+def _scored(pairs: DataFrame, queries: DataFrame, candidates: DataFrame, p: Blocking) -> DataFrame:
+    """Pairs at or above the threshold, with `score`.
+
+    Lengths and character counts rule most pairs out before a text is moved; texts are then fetched by position for
+    the others alone. Comparing costs far more than moving, so pairs are dealt out by both positions first:
+    a frequent head would else keep one task busy.
+    """
+    far = (F.abs(F.col("q_len") - F.col("c_len")) > distance_bound(p)) | (least_distance(F.col("q_counts"), F.col("c_counts"), p.metric) > distance_bound(p))
+    near = pairs.filter(~far).drop("q_counts", "c_counts")
+    texts = lambda df, n: df.select(F.col("pos").alias(f"_{n}"), F.col("norm").alias(f"{n}_norm"))
+    x = near.join(texts(queries, "q"), F.col("q_pos") == F.col("_q")).join(texts(candidates, "c"), F.col("c_pos") == F.col("_c")).drop("_q", "_c")
+    x = x.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q_pos", "c_pos")
+    return x.withColumn("score", ratio_column("q_norm", "c_norm", p.metric, p.threshold)).filter(F.col("score").isNotNull() & ~F.isnan("score")).drop("q_norm", "c_norm")
 
 
 def candidate_pairs(queries: DataFrame, candidates: DataFrame, p: Blocking, before: bool = True) -> DataFrame:
-    """q_* and c_* columns of blocked pairs and their bin `offset`; an equi-join on head and bin, whose skew adaptive execution splits."""
-    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns]).withColumn("offset", F.explode(F.array(*[F.lit(i) for i in range(-p.radius, p.radius + 1)]))).withColumn("at", F.col("q_bin") + F.col("offset"))
-    c = candidates.select(*[F.col(x).alias(f"c_{x}") for x in candidates.columns])
+    """q_* and c_* columns of blocked pairs, without their texts, and their bin `offset`; an equi-join on head and bin, whose skew adaptive execution splits."""
+    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns if c != "norm"]).withColumn("offset", F.explode(F.array(*[F.lit(i) for i in range(-p.radius, p.radius + 1)]))).withColumn("at", F.col("q_bin") + F.col("offset"))
+    c = candidates.select(*[F.col(x).alias(f"c_{x}") for x in candidates.columns if x != "norm"])
     on = (F.col("q_head") == F.col("c_head")) & (F.col("at") == F.col("c_bin")) & (F.abs(F.col("q_len") - F.col("c_len")) <= p.delta)
     return q.join(c, on & (F.col("c_pos") < F.col("q_pos")) if before else on).drop("at")
 
 
 def distinct_owners(x: DataFrame, *carried: str) -> DataFrame:
-    """The first row of each norm."""
-    row = F.min(F.struct("pos", *carried)).alias("o")
-    return x.groupBy("norm", "len", "head", "bin").agg(row).select("o.*", "norm", "len", "head", "bin")
+    """The first row of each norm (and head, where it holds more than the text's)."""
+    row = F.min(F.struct("pos", *carried, "norm", "len", "bin", "counts")).alias("o")
+    return x.groupBy(F.md5("norm").alias("k"), "head").agg(row).select("o.*", "head")
+
+
+def _matches(queries: DataFrame, owners: DataFrame, p: Blocking, before: bool = True) -> DataFrame:
+    return _scored(candidate_pairs(queries, owners, p, before), queries, owners, p)
 
 
 def best_match(scored: DataFrame, *by: str) -> DataFrame:
@@ -118,31 +146,25 @@ def best_match(scored: DataFrame, *by: str) -> DataFrame:
     return scored.groupBy(*by).agg(best).select(*by, (-F.col("b.s")).alias("_fuzzy_score"), F.col("b.c_pos").alias("_fuzzy_matched_pos"), F.col("b.c_ds").alias("_fuzzy_matched_dataset"))
 
 
-def fuzzy_set(df: DataFrame, text: Column, dataset: str = "dataset_id", pos: str = "pos", p: Blocking = Blocking(), reason: str = "fuzzy_duplicate") -> DataFrame:
-    """A row goes if its best earlier match belongs to another dataset: what one batch over the whole input decides."""
-    base = blocked(df, X.dedup_norm(text) if p.metric == "indel" else _ascii(X.dedup_norm(text)), p, pos=F.col(pos), ds=X.missing(dataset))
-    best = best_match(_scored(candidate_pairs(base, distinct_owners(base, "ds"), p), p), "q_pos")
+def fuzzy_set(df: DataFrame, text: Column, dataset: str = "dataset_id", pos: str = "pos", p: Blocking = Blocking(), reason: str = "fuzzy_duplicate", within: tuple[str, ...] = ()) -> DataFrame:
+    """A row goes if its best earlier match belongs to another dataset: what one batch over the whole input decides. `within`: columns (a language) that keep their texts apart."""
+    base = settled(blocked(df, X.dedup_norm(text), p, within, pos=F.col(pos), ds=X.missing(dataset)))
+    best = best_match(_matches(base, distinct_owners(base, "ds"), p), "q_pos")
     x = df.join(best, df[pos] == best["q_pos"], "left").drop("q_pos")
     drop = F.col("_fuzzy_matched_dataset") != X.missing(dataset)
     return x.withColumn("_drop_reason", F.when(drop, reason)).withColumn("_keep", F.col("_drop_reason").isNull())
 
 
-def _ascii(c: Column) -> Column:
-    from ..functions.similarity import ascii_only
-
-    return ascii_only(c)
-
-
 def truth_aware_pairs(df: DataFrame, text: Column, truth: Column, dataset: str, pos: str, p: Blocking) -> DataFrame:
     """Scored pairs of earlier rows: q_pos, q_ds, score, cross, same_truth."""
-    norm = X.dedup_norm(text) if p.metric == "indel" else _ascii(X.dedup_norm(text))
-    base = blocked(df, norm, p, pos=F.col(pos), ds=X.missing(dataset), truth=X.truth_hash(truth))
-    pairs = _scored(candidate_pairs(base, _owners_by_truth(base), p), p)
+    base = settled(blocked(df, X.dedup_norm(text), p, pos=F.col(pos), ds=X.missing(dataset), truth=X.truth_hash(truth)))
+    pairs = _matches(base, _owners_by_truth(base), p)
     return pairs.select("q_pos", "q_ds", "score", (F.col("q_ds") != F.col("c_ds")).alias("cross"), (F.col("q_truth") == F.col("c_truth")).alias("same_truth"))
 
 
 def _owners_by_truth(base: DataFrame) -> DataFrame:
-    return base.groupBy("norm", "len", "head", "bin", "ds", "truth").agg(F.min("pos").alias("pos")).select("pos", "ds", "truth", "norm", "len", "head", "bin")
+    row = F.min(F.struct("pos", "norm", "len", "bin", "counts")).alias("o")
+    return base.groupBy(F.md5("norm").alias("k"), "head", "ds", "truth").agg(row).select("o.*", "head", "ds", "truth")
 
 
 def truth_aware_decision(pairs: DataFrame, skip_intra: tuple[str, ...] = ()) -> DataFrame:
@@ -171,11 +193,10 @@ def threshold_sweep(df: DataFrame, text: Column, truth: Column, thresholds: list
 
 def cross_collection(new: DataFrame, reference: DataFrame, text: Column, reference_text: Column, dataset: str = "dataset_id", pos: str = "pos", p: Blocking = Blocking(head=1, delta=200, radius=2, threshold=90.0)) -> DataFrame:
     """New rows that match a reference collection go first; then those whose best earlier kept match belongs to another new source."""
-    norm = (lambda c: X.dedup_norm(c)) if p.metric == "indel" else (lambda c: _ascii(X.dedup_norm(c)))
-    q = blocked(new, norm(text), p, pos=F.col(pos), ds=X.missing(dataset))
-    r = blocked(reference, norm(reference_text), p, pos=F.lit(0), ds=F.lit("reference")).distinct()
-    hit = _scored(candidate_pairs(q, r, p, before=False), p).select(F.col("q_pos").alias("_hit")).distinct()
-    x = new.join(hit, new[pos] == hit["_hit"], "left")
+    q = settled(blocked(new, X.dedup_norm(text), p, pos=F.col(pos), ds=X.missing(dataset)))
+    r = settled(blocked(reference, X.dedup_norm(reference_text), p, ds=F.lit("reference")).dropDuplicates(["norm"]).withColumn("pos", F.xxhash64("norm")))
+    hit = _matches(q, r, p, before=False).select(F.col("q_pos").alias("_hit")).distinct()
+    x = settled(new.join(hit, new[pos] == hit["_hit"], "left"))
     gone = x.filter("_hit is not null").drop("_hit").withColumn("_drop_reason", F.lit("cross_collection_duplicate")).withColumn("_keep", F.lit(False))
     left = fuzzy_set(x.filter("_hit is null").drop("_hit"), text, dataset, pos, p, "intra_new_cross_source_duplicate")
     return left.unionByName(gone, allowMissingColumns=True)
@@ -185,7 +206,8 @@ def fuzzy_sequential(df: DataFrame, text: Column, dataset: str = "dataset_id", p
     """Decides batch by batch: candidates are earlier kept rows of earlier batches and all earlier rows of the batch. (pos, _drop_reason, _fuzzy_score, _fuzzy_matched_dataset) of rows with text.
 
     A look-up never leaves its head, so heads are independent: rows stream by in order of head and position, and a task
-    holds the buckets of one head, each capped to its `cap` latest texts.
+    holds the buckets of one head, each capped to its `cap` latest texts. The cap is the policy's own; `cap=None` holds all,
+    and fuzzy_set() decides the whole input at once without a task for each head.
     """
     base = blocked(df, X.dedup_norm(text), p, pos=F.col(pos), ds=X.missing(dataset)).select("head", "pos", "ds", "norm", "len", "bin")
     x = base.repartition("head").sortWithinPartitions("head", "pos")
@@ -203,7 +225,7 @@ def fuzzy_sequential(df: DataFrame, text: Column, dataset: str = "dataset_id", p
                     owner[norm] = ds
                     bucket = kept.setdefault(b, deque())
                     bucket.append(norm)
-                    if len(bucket) > p.cap:
+                    if p.cap is not None and len(bucket) > p.cap:
                         owner.pop(bucket.popleft(), None)
             pending.clear()
 
@@ -222,8 +244,8 @@ def fuzzy_sequential(df: DataFrame, text: Column, dataset: str = "dataset_id", p
                     for index in (kept, local):
                         for c in index.get(r.bin + off, ()):
                             if abs(len(c) - r.len) <= p.delta:
-                                s = indel_ratio(r.norm, c)
-                                if s >= p.threshold and s > score:
+                                s = indel_ratio(r.norm, c, p.threshold)
+                                if s is not None and s > score:
                                     best, score = c, s
                 ds = owner.get(best, seen.get(best)) if best is not None else None
                 drop = ds is not None and ds != r.ds

@@ -39,9 +39,10 @@ def backfill_domains(df: DataFrame, rules: dict[str, str] | None = None, domain:
 
 
 def apply_predictions(df: DataFrame, predictions: DataFrame, domain: str = "domain", key: str = "example_id", order: str | None = None) -> DataFrame:
-    """Empty domains by predicted_domain on a key; of repeated keys the last in `order` counts. A left join that adaptive execution broadcasts if predictions are few."""
-    last = F.max_by("predicted_domain", order) if order else F.last("predicted_domain")
-    p = predictions.groupBy(F.col(key).alias("_key")).agg(last.alias("_p"))
+    """Empty domains by predicted_domain on a key. Of repeated keys the last in `order` counts; without one, the prediction of greatest confidence, if there is such a column, then the name that sorts last. A left join that adaptive execution broadcasts if predictions are few."""
+    first = order or ("confidence" if "confidence" in predictions.columns else None)
+    last = F.max(F.struct(*([F.col(first).alias("o")] if first else []), F.col("predicted_domain").alias("d")))
+    p = predictions.groupBy(F.col(key).alias("_key")).agg(last.alias("_l")).select("_key", F.col("_l.d").alias("_p"))
     return df.join(p, F.col(key) == F.col("_key"), "left").withColumn(domain, F.coalesce(F.nullif(F.col(domain), F.lit("")), F.nullif("_p", F.lit("")))).drop("_key", "_p")
 
 

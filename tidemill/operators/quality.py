@@ -27,8 +27,9 @@ class QualityScorer(Protocol):
 class HashedLogisticScorer:
     """Hashed words and word pairs with a logistic regression, trained on labelled rows: all of Spark ML, in the JVM."""
 
-    def __init__(self, features: int = 1 << 16) -> None:
-        self.features, self.model = features, None
+    def __init__(self, features: int = 1 << 16, most_chars: int | None = None) -> None:
+        """`most_chars`: what of a text is read; all, if None."""
+        self.features, self.most_chars, self.model = features, most_chars, None
 
     def _stages(self) -> list:
         return [
@@ -39,7 +40,7 @@ class HashedLogisticScorer:
 
     def _features(self, df: DataFrame, text: Column) -> DataFrame:
         words, pairs, hashed = self._stages()
-        x = pairs.transform(words.transform(df.withColumn("_text", F.coalesce(X.one_line(text), F.lit("")))))
+        x = pairs.transform(words.transform(df.withColumn("_text", F.coalesce(X.one_line(text, self.most_chars), F.lit("")))))
         return hashed.transform(x.withColumn("_all", F.concat("_words", "_pairs"))).drop("_text", "_words", "_pairs", "_all")
 
     def fit(self, labelled: DataFrame, text: Column, label: str) -> HashedLogisticScorer:
@@ -106,18 +107,24 @@ FUNCTION_WORDS = {
 }
 
 
-def language_scores(text: Column) -> Column:
-    """Array of struct(score, language), best first: each language's part of the function words found, by plain counts; CJK text is 'zh'."""
-    words = F.split(F.lower(X.ws_norm(F.coalesce(text, F.lit("")))), "[^\\p{L}]+")
+def language_profile(text: Column) -> Column:
+    """struct(language, confidence, english): each language's part of the function words found, by plain counts; the best (null if nothing speaks for any), its part, and that of English. CJK text is 'zh'.
 
-    def scored(w: Column) -> Column:
-        hits = {k: _hits(w, k) for k in FUNCTION_WORDS}
-        total = sum(hits.values(), F.lit(0))
-        return F.sort_array(F.array(*[F.struct(F.when(total == 0, 0.0).otherwise(n / total).alias("score"), F.lit(k).alias("language")) for k, n in hits.items()]), asc=False)
+    The words are made once, those that no language counts go next, and each language counts what is left.
+    """
+    every = sorted({w for ws in FUNCTION_WORDS.values() for w in ws})
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+")
+    once = lambda c, body: F.transform(F.array(c), body)[0]
 
-    latin = F.transform(F.array(words), scored)[0]
-    zh = F.array(F.struct(F.lit(1.0).alias("score"), F.lit("zh").alias("language")))
-    return F.when(X.cjk_ratio(text) > 0.2, zh).otherwise(latin)
+    def told(n: Column) -> Column:
+        total = F.aggregate(n, F.lit(0), lambda a, x: a + x)
+        parts = [F.when(total == 0, 0.0).otherwise(F.get(n, F.lit(i)) / total) for i in range(len(FUNCTION_WORDS))]
+        best = F.array_max(F.array(*[F.struct(p.alias("score"), F.lit(k).alias("language")) for k, p in zip(FUNCTION_WORDS, parts)]))  # noqa: B905
+        return once(best, lambda b: F.struct(F.when(b["score"] > 0, b["language"]).alias("language"), b["score"].alias("confidence"), parts[list(FUNCTION_WORDS).index("en")].alias("english")))
+
+    counted = once(F.filter(words, lambda t: t.isin(every)), lambda w: F.array(*[_hits(w, k) for k in FUNCTION_WORDS]))
+    zh = F.struct(F.lit("zh").alias("language"), F.lit(1.0).alias("confidence"), F.lit(0.0).alias("english"))
+    return F.when(X.cjk_ratio(text) > 0.2, zh).otherwise(once(counted, told))
 
 
 def _hits(words: Column, language: str) -> Column:
@@ -125,17 +132,16 @@ def _hits(words: Column, language: str) -> Column:
 
 
 def english_score(text: Column) -> Column:
-    return F.coalesce(F.get(F.transform(F.filter(language_scores(text), lambda x: x["language"] == "en"), lambda x: x["score"]), F.lit(0)), F.lit(0.0))
+    return language_profile(text)["english"]
 
 
 def language_confidence(text: Column) -> Column:
-    return F.get(language_scores(text), F.lit(0))["score"]
+    return language_profile(text)["confidence"]
 
 
 def detected_language(text: Column) -> Column:
     """The best language; null if nothing speaks for any."""
-    best = F.get(language_scores(text), F.lit(0))
-    return F.when(best["score"] > 0, best["language"])
+    return language_profile(text)["language"]
 
 
 def cjk_language(text: Column) -> Column:
@@ -154,13 +160,14 @@ def keyword_domain(text: Column, words: dict[str, list[str]], margin: int = 1, d
 class DomainClassifier:
     """Domains by hashed words and a multinomial regression, trained on a balanced sample of at most `most` rows a domain (a documented bound)."""
 
-    def __init__(self, features: int = 1 << 15, most: int = 500_000, seed: int = 42) -> None:
-        self.features, self.most, self.seed = features, most, seed
+    def __init__(self, features: int = 1 << 15, most: int = 500_000, seed: int = 42, most_chars: int | None = None) -> None:
+        """`most_chars`: what of a text is read; all, if None."""
+        self.features, self.most, self.seed, self.most_chars = features, most, seed, most_chars
         self.model: PipelineModel | None = None
         self.labels: list[str] = []
 
     def _features(self, df: DataFrame, text: Column) -> DataFrame:
-        x = RegexTokenizer(inputCol="_text", outputCol="_words", pattern="[^\\p{L}\\p{N}]+").transform(df.withColumn("_text", F.coalesce(X.one_line(text), F.lit(""))))
+        x = RegexTokenizer(inputCol="_text", outputCol="_words", pattern="[^\\p{L}\\p{N}]+").transform(df.withColumn("_text", F.coalesce(X.one_line(text, self.most_chars), F.lit(""))))
         return HashingTF(inputCol="_words", outputCol="features", numFeatures=self.features).transform(x).drop("_text", "_words")
 
     def fit(self, rows: DataFrame, text: Column, domain: str, key: str) -> DomainClassifier:

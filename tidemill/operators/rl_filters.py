@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.answers import normalised
-from .sft_filters import any_word, has_http
+from .quality import language_profile
+from .sft_filters import CUTOFF, any_word, has_http
 
 # They decide which rows drop.
 IMAGE_WORDS = ["[image]", "[figure]", "[img]", "[photo]", "figure ", "diagram", "jpeg", "jpg", "png", "svg", ".gif"]
+IMAGE_REFERENCE = r"(?i)\b(?:see\s+(?:image|figure|diagram)|\[image\]|<img\b)"
 PLACEHOLDERS = [
     "n/a", "na", "n.a.", "none", "null", "nil", "unknown", "?", "??", "???", "-", "--", "---", "tbd", "todo", "placeholder",
     "answer", "answer here", "<answer>", "</answer>", "<answer></answer>", "no answer", "not provided", "not available", "not applicable",
@@ -29,6 +31,23 @@ def prompt_reference_reason(t: Column) -> Column:
     return F.when(has_http(t), "prompt_has_http").when(any_word(t, IMAGE_WORDS), "prompt_has_image")
 
 
+def english_reason(t: Column, least: float = 0.8, min_chars: int = 80, keep_short: bool = True, english: Column | None = None) -> Column:
+    """Prompts that are not English: by `english`, the score of a language model, or by function words. Short ones are not judged."""
+    score = language_profile(t)["english"] if english is None else english
+    long = F.length(F.coalesce(t, F.lit(""))) >= min_chars
+    return F.when(X.blank(t), "empty_text").when(~long, F.lit(None) if keep_short else F.lit("non_english_short")).when(score < least, "non_english_fasttext")
+
+
+def cutoff_reason(user: Column) -> Column:
+    """What the user says of a knowledge cutoff."""
+    return F.when(F.coalesce(user.rlike(CUTOFF), F.lit(False)), "cutoff_mention")
+
+
+def qa_reference_reason(t: Column) -> Column:
+    """Of questions: links, and images that the text points to (the mere word for a file type does not count)."""
+    return F.when(has_http(t), "prompt_has_http").when(F.coalesce(t.rlike(IMAGE_REFERENCE), F.lit(False)), "prompt_has_image_ref")
+
+
 def repetition_reason(t: Column, sentences: int = 5, words: int = 4, phrases: int = 15, least: int = 80) -> Column:
     """The reason holds the count: 'prompt_repetition:sentence×7'."""
     t = F.coalesce(t, F.lit(""))
@@ -64,13 +83,14 @@ def answer_reason(answer: Column, kind: Column) -> Column:
     return normalised(answer, kind)[1]
 
 
-def prolog_reason(rule: Column, program: Column) -> Column:
-    """A rule has a body; a validation program has positive and negative facts."""
+def prolog_reason(rule: Column, program: Column, positive: Column, negative: Column) -> Column:
+    """A rule's positive predicate has a body; a validation program holds facts of both predicates."""
+    quoted = F.concat(F.lit("(?i)\\Q"), positive, F.lit("\\E\\s*\\([^()]*\\)\\s*:-"))
     return (
         F.when(X.blank(rule), "empty_ground_truth_rule")
-        .when(~F.coalesce(rule.rlike(":-"), F.lit(False)), "ground_truth_rule_has_no_body")
         .when(X.blank(program), "empty_validation_program")
-        .when(~(program.rlike("\\bpos\\s*\\(") & program.rlike("\\bneg\\s*\\(")), "validation_program_missing_pos_or_neg")
+        .when(~F.coalesce(F.rlike(rule, quoted), F.lit(False)), "ground_truth_rule_has_no_body")
+        .when(~(F.contains(program, F.concat(positive, F.lit("("))) & F.contains(program, F.concat(negative, F.lit("(")))), "validation_program_missing_pos_or_neg")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import messages as M
 from ..functions import text as X
+from .quality import language_profile
 from .reasons import first_reason
 
 # They decide which rows drop.
@@ -158,7 +159,7 @@ def language_category_ok(category: Column, language: Column, multilingual: tuple
 
 
 def drop_reason(m: Column, cfg: FilterConfig = FilterConfig(), pre: Column | None = None, english: Column | None = None, confidence: Column | None = None, toxic: Column | None = None, redacted: Column | None = None) -> Column:
-    """A row's first failing check in the order of the phases. `english`, `confidence`: scores of a language model."""
+    """A row's first failing check in the order of the phases. `english`, `confidence`: scores of a language model for the answer; where a check needs one that is not given, function words tell the language."""
     cfg.validate()
     prompt, answer = M.prompt_text(m), M.last(m)["content"]
     checks: list[tuple[Column, Column | str]] = [] if pre is None else [(pre.isNotNull(), pre)]
@@ -169,9 +170,11 @@ def drop_reason(m: Column, cfg: FilterConfig = FilterConfig(), pre: Column | Non
         checks += [(X.blank(prompt), "empty_question"), (has_http(prompt), "question_has_http"), (any_word(prompt, IMAGE_WORDS), "question_has_image_ref"), (multipart(prompt), "question_multipart"), (F.length(prompt) < cfg.min_question_chars, "question_too_short")]
     said = M.contents(m, lambda t: (t["role"] == "assistant") & t["content"].isNotNull())
     checks.append((F.exists(F.slice(F.reverse(said), 1, cfg.cjk_turns), lambda t: X.cjk_ratio(t) >= cfg.cjk_ratio), "chinese_ratio"))
-    if cfg.english_only and english is not None:
+    if cfg.english_only:
+        english = language_profile(answer)["english"] if english is None else english
         checks.append(((F.length(answer) >= cfg.min_english_chars) & (english < cfg.min_english), "non_english"))
-    if cfg.drop_mixed and confidence is not None:
+    if cfg.drop_mixed:
+        confidence = language_profile(answer)["confidence"] if confidence is None else confidence
         checks.append(((F.length(X.ws_norm(answer)) >= cfg.min_mixed_chars) & (confidence < cfg.min_confidence), "mixed_language"))
     if cfg.identity:
         checks.append((identity(answer), "identity_self_id"))

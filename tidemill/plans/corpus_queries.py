@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.similarity import indel_ratio_column
+from ..functions.similarity import ratio_column
 from ..operators import merge as G
 from ..operators import post as PP
 from ..operators import quality as Q
@@ -116,10 +116,10 @@ def ordered_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indel_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of parts of one brand and size by insertions and deletions; tested against plain dynamic programming."""
+    """Names of parts of one brand and size by insertions and deletions."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     q = p.select(F.col("p_partkey").alias("k2"), F.col("p_name").alias("n2"), F.col("p_brand").alias("b2"), F.col("p_size").alias("s2"))
-    return p.join(q, (F.col("p_brand") == F.col("b2")) & (F.col("p_size") == F.col("s2")) & (F.col("p_partkey") < F.col("k2"))).select("p_partkey", "k2", F.round(indel_ratio_column("p_name", "n2"), 9).alias("ratio"))
+    return p.join(q, (F.col("p_brand") == F.col("b2")) & (F.col("p_size") == F.col("s2")) & (F.col("p_partkey") < F.col("k2"))).select("p_partkey", "k2", F.round(ratio_column("p_name", "n2"), 9).alias("ratio"))
 
 
 def quality_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +138,8 @@ def domain_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", Q.detected_language(F.col("text")).alias("detected"), F.round(Q.english_score(F.col("text")), 6).alias("english"))
+    x = table(spark, sf_dir, "documents").select("doc_id", Q.language_profile(F.col("text")).alias("p"))
+    return x.select("doc_id", F.col("p.language").alias("detected"), F.round("p.english", 6).alias("english"))
 
 
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +171,8 @@ ORACLE_SQL = {
     "validation_report": "WITH c AS (SELECT 'blank_text' AS name, 'FAIL' AS level, count(*) FILTER (coalesce(trim(text), '') = '') AS n FROM documents UNION ALL SELECT 'unknown_language', 'WARN', count(*) FILTER (lang NOT IN ('en', 'de')) FROM documents UNION ALL SELECT 'null_source', 'FAIL', count(*) FILTER (source IS NULL) FROM documents) SELECT name, CASE WHEN n > 0 THEN level ELSE 'PASS' END AS status, CAST(n AS VARCHAR) AS detail FROM c",
     "json_payload_keys": "SELECT event_id, array_to_string(list_sort(json_keys(props)), ',') AS keys, NOT json_valid(props) AS invalid, CASE WHEN NOT list_contains(json_keys(props), 'raw_answer') AND NOT list_contains(json_keys(props), 'answer_type') THEN 'missing_keys' END AS problem FROM events",
     "language_funnel_rollup": "SELECT coalesce(lang, 'TOTAL') AS lang, count(*) AS n, count(*) FILTER (length(text) >= 200) AS kept FROM documents GROUP BY ROLLUP (lang)",
+    "indel_ratio": f"""WITH RECURSIVE maybe AS MATERIALIZED (SELECT row_number() OVER () AS id, p.p_partkey, c.p_partkey AS k2, p.p_name AS a, c.p_name AS b FROM part p JOIN part c ON p.p_brand = c.p_brand AND p.p_size = c.p_size AND p.p_partkey < c.p_partkey), {S.lcs('maybe')}
+SELECT p_partkey, k2, round(200.0 * n / (length(a) + length(b)), 9) AS ratio FROM maybe JOIN lcs USING (id)""",
     "language_id": f"""WITH w AS (SELECT doc_id, string_split_regex(lower({S.ws_norm("coalesce(text, '')")}), '[^\\p{{L}}]+') AS w FROM documents), h AS (SELECT doc_id, {', '.join(f'{v} AS {k}' for k, v in _HITS.items())} FROM w)
 SELECT doc_id, CASE WHEN {_TOTAL} > 0 THEN list_reverse_sort([{', '.join(f"struct_pack(s := CAST({k} AS DOUBLE), l := '{k}')" for k in _HITS)}])[1].l END AS detected, round(CASE WHEN {_TOTAL} = 0 THEN 0.0 ELSE CAST(en AS DOUBLE) / {_TOTAL} END, 6) AS english FROM h""",
 }

@@ -21,6 +21,7 @@ from ..operators.sft_filters import FilterConfig, language_category_ok
 
 from ..schema import RL_COLUMNS, RL_SCHEMA, SFT_COLUMNS, SFT_SCHEMA
 from ..session import settled
+from ..sources.readers import positioned
 
 
 @dataclass
@@ -50,7 +51,7 @@ def chat_job(spark: SparkSession, inputs: list[tuple[str, DataFrame]], cfg: Filt
     """Adapters and filters, quality, same ids, exact and fuzzy copies across datasets, post-processing. `inputs`: (adapter, rows) in order of priority."""
     tagged = None
     for i, (name, df) in enumerate(inputs):
-        part = CHAT[name].apply(df.withColumn("pos", F.monotonically_increasing_id()), cfg).withColumn("pos", F.lit(i).cast("bigint") * (1 << 52) + F.col("pos"))
+        part = CHAT[name].apply(positioned(df), cfg).withColumn("pos", F.lit(i).cast("bigint") * (1 << 52) + F.col("pos"))
         tagged = part if tagged is None else tagged.unionByName(part)
     body = ["pos", *[c for c in SFT_COLUMNS if not c.startswith("_")]]
     out = Outcome(tagged.select(*body))
@@ -74,7 +75,7 @@ def reward_job(spark: SparkSession, inputs: list[tuple[str, DataFrame]], skip: t
     """Adapters and filters, merge in order of priority, exact and fuzzy copies by ground truth, the canonical columns."""
     kept, dropped = [], None
     for name, df in inputs:
-        t = REWARD[name].apply(df.withColumn("pos", F.monotonically_increasing_id()))
+        t = settled(REWARD[name].apply(positioned(df)))
         gone = t.filter("not _keep").select("pos", *RL_COLUMNS, "_drop_reason")
         dropped = gone if dropped is None else dropped.unionByName(gone)
         kept.append((name, t.filter("_keep").select("pos", *RL_COLUMNS)))
@@ -112,10 +113,11 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--input", action="append", required=True, metavar="ADAPTER=PATH", help="in order of priority")
     p.add_argument("--out", required=True)
     a = p.parse_args(args)
-    from ..session import build_session
+    from ..session import build_session, checkpoint_dir
     from ..sources.sinks import write_json_report
 
     spark = build_session(f"tidemill-{a.kind}")
+    checkpoint_dir(spark)
     inputs = [(x.split("=", 1)[0], spark.read.parquet(x.split("=", 1)[1])) for x in a.input]
     out = chat_job(spark, inputs) if a.kind == "chat" else reward_job(spark, inputs)
     schema = RL_SCHEMA if a.kind == "reward" else T.StructType([f for f in SFT_SCHEMA if not f.name.startswith("_")])

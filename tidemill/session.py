@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +27,21 @@ def build_session(app: str = "tidemill", master: str | None = None, **extra: str
     return b.getOrCreate()
 
 
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in spark.checkpoint.dir. Where none is set, a folder of its own on a single machine; on a cluster that is an error, as no machine's own folder is seen by the others."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+            named = tempfile.mkdtemp(prefix="tidemill-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """`df` cut from its lineage by a reliable checkpoint, where the cluster names a folder for it: later stages then read it and do not compute it again. Without one, `df` as it is."""
-    return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
+    """`df` cut from its lineage by a reliable checkpoint: later stages read it and do not compute it again, and lost executors cost no more than their share of it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +68,26 @@ def json_lines(spark: SparkSession, path: str, columns: dict[str, str], as_text:
     return lines.select(*flat, F.when(~ok, F.col("value")).alias("_corrupt"))
 
 
+def positioned(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """`df` with its rows' places: files in order of name, rows in order within each.
+
+    The place comes from the file, not from how it was split, so a task that runs anew gives the same. A table that has a column of this name keeps it; rows that come from no
+    file are numbered as they are dealt out. A list of file names is broadcast, one row for each file.
+    """
+    if pos in df.columns:
+        return df
+    files = sorted(df.inputFiles())
+    if not files:
+        return df.withColumn(pos, F.monotonically_increasing_id())
+    names = df.sparkSession.createDataFrame(list(enumerate(files)), "_n long, _f string")
+    try:
+        x = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException as e:
+        raise ValueError(f"rows that are not read straight from files need a column {pos}") from e
+    same = F.regexp_replace("_f", "^file:/+", "/") == F.regexp_replace("_file", "^file:/+", "/")
+    return x.join(F.broadcast(names), same).withColumn(pos, F.shiftleft("_n", 40) + F.col("_row")).drop("_file", "_row", "_n", "_f")
+
+
 def skip_and_limit(df: DataFrame, pos: str, skip: int = 0, most: int | None = None) -> DataFrame:
     """Rows from a position on, at most so many."""
     x = df.filter(F.col(pos) >= skip)

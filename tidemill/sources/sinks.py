@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from ..operators.reasons import split
 
 
-def write_split(tagged: DataFrame, kept_path: str, dropped_path: str) -> None:
-    """Kept and dropped rows as Parquet (snappy)."""
-    kept, dropped = split(tagged)
-    kept.write.mode("overwrite").option("compression", "snappy").parquet(kept_path)
-    dropped.write.mode("overwrite").option("compression", "snappy").parquet(dropped_path)
+def write_split(tagged: DataFrame, kept_path: str, dropped_path: str) -> list[str]:
+    """Kept and dropped rows as Parquet (snappy); a part without rows is not written. The paths written."""
+    done = []
+    for part, path in zip(split(tagged), (kept_path, dropped_path), strict=True):
+        if not part.isEmpty():
+            part.write.mode("overwrite").option("compression", "snappy").parquet(path)
+            done.append(path)
+    return done
 
 
 def write_head(df: DataFrame, path: str, order: str, n: int = 200) -> None:
@@ -36,7 +39,9 @@ def write_json_report(report: DataFrame, path: str) -> None:
 
 
 def markdown(report: DataFrame, title: str, most: int = 1000) -> str:
-    """A report's rows (at most `most`) as a Markdown table."""
-    rows = report.limit(most).collect()
+    """A report's rows as a Markdown table; one that has more than `most` says so in its last line."""
+    rows = report.limit(most + 1).collect()
+    cell = lambda v: str(v).replace("|", "\\|").replace("\n", " ")
     head = [f"# {title}", "", "| " + " | ".join(report.columns) + " |", "|" + "---|" * len(report.columns)]
-    return "\n".join(head + ["| " + " | ".join(str(v) for v in r) + " |" for r in rows]) + "\n"
+    more = ["", f"The first {most} rows; the report has more."] if len(rows) > most else []
+    return "\n".join(head + ["| " + " | ".join(map(cell, r)) + " |" for r in rows[:most]] + more) + "\n"

@@ -22,22 +22,37 @@ def distinct_within(df: DataFrame, text: Column, event_time: str, delay: str = "
     return x.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["_dedup_hash"])
 
 
-def exact_cross_source(df: DataFrame, text: Column, dataset: str, key: str) -> DataFrame:
-    """(key, dataset, owner, _drop_reason): a row goes if another dataset's row with its text came first. One owner for each hash is held as state."""
-    x = df.select(X.text_hash(X.dedup_norm(text)).alias("h"), F.col(key).cast("string").alias("key"), X.missing(dataset).alias("dataset"))
+def exact_cross_source(df: DataFrame, text: Column, dataset: str, key: str, pos: str | None = None, ttl: str | None = None) -> DataFrame:
+    """(key, dataset, owner, _drop_reason): a row goes if another dataset's row with its text came first.
+
+    Rows of an earlier micro-batch came first; in one micro-batch, the row with the least `pos` (by default the key, in its own
+    order: numbers as numbers), then the dataset that sorts first. One owner for each hash is held as state, for good or until no row of that hash has come
+    for `ttl` ('30 days'). The rows of a hash in one micro-batch are read by one task, without their texts.
+    """
+    kind = df.schema[pos or key].dataType.simpleString()
+    x = df.select(X.text_hash(X.dedup_norm(text)).alias("h"), F.col(key).cast("string").alias("key"), X.missing(dataset).alias("dataset"), F.col(pos or key).alias("pos"))
+    wait = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
 
     def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         owner = state.get[0] if state.exists else None
-        for f in frames:
-            if owner is None and len(f):
-                owner = f.sort_values("key", kind="stable")["dataset"].iloc[0]
-            f = f.assign(owner=owner)
-            f["_drop_reason"] = ["exact_hash_cross_dataset" if d != owner else None for d in f["dataset"]]
-            yield f[["key", "dataset", "owner", "_drop_reason"]]
+        rows = pd.concat(list(frames))
+        if owner is None and len(rows):
+            owner = rows.sort_values(["pos", "dataset"], kind="stable")["dataset"].iloc[0]
+        rows = rows.assign(owner=owner)
+        rows["_drop_reason"] = ["exact_hash_cross_dataset" if d != owner else None for d in rows["dataset"]]
+        yield rows[["key", "dataset", "owner", "_drop_reason"]]
         if owner is not None:
             state.update((owner,))
+            if wait is not None:
+                state.setTimeoutDuration(wait)
 
-    return x.groupBy("h").applyInPandasWithState(run, "key string, dataset string, owner string, _drop_reason string", "owner string", "append", GroupStateTimeout.NoTimeout)
+    if kind not in ("string", "bigint", "int", "double", "timestamp"):
+        raise TypeError(f"{pos or key} must have an order that both sides share, not {kind}")
+    timeout = GroupStateTimeout.NoTimeout if wait is None else GroupStateTimeout.ProcessingTimeTimeout
+    return x.groupBy("h").applyInPandasWithState(run, "key string, dataset string, owner string, _drop_reason string", "owner string", "append", timeout)
 
 
 def windowed_counts(df: DataFrame, event_time: str, by: str, width: str = "1 hour", delay: str = "2 hours") -> DataFrame:
