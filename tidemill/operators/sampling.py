@@ -8,22 +8,27 @@ from pyspark.sql.window import Window
 
 
 def seeded(key: str, seed: int = 42) -> Column:
-    """A number that orders rows at random."""
-    return F.xxhash64(F.lit(seed), F.col(key))
+    """A text that orders rows at random: the same on any engine that knows MD5."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def capped_tagged(df: DataFrame, by: list[str], key: str, cap: int, seed: int = 42, reason: str = "subset_cap_downsample") -> DataFrame:
     """At most `cap` rows of each group stay, the others get a reason; a cap of 0 or less keeps all.
 
-    The bound is a group's cap-th least hash. A first rank within hash parts of a group bounds what the second sees, so no task holds a whole group.
+    The bound is a group's cap-th least hash. Rows are counted by the first four digits of their hashes, so at most 65,536 counts a group tell in
+    which of these parts the bound lies; only that part's rows are ranked.
     """
     if cap <= 0:
         return df.withColumn("_drop_reason", F.lit(None).cast("string")).withColumn("_keep", F.lit(True))
-    x = df.withColumn("_h", seeded(key, seed)).withColumn("_part", F.pmod(F.xxhash64("_h", F.lit(7)), F.lit(64)))
-    least = x.select(*by, "_h", key, "_part").withColumn("_n", F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_h", key))).filter(F.col("_n") <= cap)
-    edge = least.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_h", key))).filter(F.col("_n") == cap).select(*[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)], F.struct("_h", key).alias("_edge"))
-    on = [F.col(b).eqNullSafe(F.col(f"_b{i}")) for i, b in enumerate(by)]
-    y = x.join(edge, on, "left")
+    x = df.withColumn("_h", seeded(key, seed)).withColumn("_part", F.substring("_h", 1, 4))
+    same = lambda n: [F.col(b).eqNullSafe(F.col(f"{n}{i}")) for i, b in enumerate(by)]
+    names = lambda n: [F.col(b).alias(f"{n}{i}") for i, b in enumerate(by)]
+    counts = x.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    upto = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)))
+    cut = upto.filter((F.col("_upto") >= cap) & (F.col("_upto") - F.col("_c") < cap)).select(*names("_a"), F.col("_part").alias("_at"), (F.lit(cap) - F.col("_upto") + F.col("_c")).alias("_left"))
+    ranked = x.select(*by, "_h", key, "_part").join(cut, [*same("_a"), F.col("_part") == F.col("_at")]).withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_h", key)))
+    edge = ranked.filter("_n = _left").select(*names("_b"), F.struct("_h", key).alias("_edge"))
+    y = x.join(edge, same("_b"), "left")
     over = F.coalesce(F.struct("_h", key) > F.col("_edge"), F.lit(False))
     return y.withColumn("_drop_reason", F.when(over, reason)).withColumn("_keep", ~over).drop("_h", "_part", "_edge", *[f"_b{i}" for i in range(len(by))])
 

@@ -67,7 +67,7 @@ def language_category_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most 25 documents a source, in hash order; tested against a plain version."""
+    """At most 25 documents a source, in hash order."""
     return T.capped_tagged(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], "doc_id", 25)
 
 
@@ -162,6 +162,8 @@ ORACLE_SQL = {
     "merge_counts": "SELECT lang, CASE WHEN lang = 'es' THEN 0 ELSE count(*) END AS merged, count(*) AS expected, lang <> 'es' AS ok FROM documents WHERE lang IN ('de', 'en', 'fr', 'es') GROUP BY lang",
     "domain_backfill": "SELECT d.doc_id AS example_id, CASE WHEN lang = 'en' THEN 'prose' WHEN source = 'src1' THEN 'code' WHEN source = 'src2' THEN 'math' ELSE 'q' || q END AS domain FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id",
     "language_category_filter": "SELECT doc_id, CASE WHEN source IN ('src1', 'src2', 'src3') THEN lang IN ('de', 'it', 'fr', 'ja', 'es') ELSE lang = 'en' END AS ok, CASE WHEN source IN ('src1', 'src2', 'src3') THEN lang = 'de' ELSE lang = 'en' END AS ok_strict FROM documents",
+    "stratified_sample": "WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || doc_id), doc_id) > 25 AS over FROM documents) SELECT doc_id, source, CASE WHEN over THEN 'subset_cap_downsample' END AS _drop_reason, NOT over AS _keep FROM r",
+    "ordered_sample": "SELECT doc_id, lang FROM (SELECT doc_id, lang FROM documents ORDER BY md5('42|' || doc_id), doc_id LIMIT 100) ORDER BY doc_id",
     "stratified_sample_sizes": "SELECT source, least(count(*), 25) AS kept, greatest(count(*) - 25, 0) AS dropped FROM documents GROUP BY source",
     "distributions_grouping_sets": """SELECT 'lang' AS "column", lang AS value, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source""",
     "cross_tab": "SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source",
