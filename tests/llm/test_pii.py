@@ -75,7 +75,8 @@ def brute_disclosed(texts, p):
             n_w = sum(w in ws for _, _, ws in held)
             own = math.log2(len(held) / n_e)
             part = math.log2(len(both) * len(held) / (n_e * n_w)) / own if own > 0 else 0
-            if len(set(both)) >= p.texts and part >= p.disclose - 1e-9:
+            sure = p.bound(len(both) / n_w, len(set(both)) * n_w / len(both))
+            if len(set(both)) >= p.texts and part >= p.disclose - 1e-9 and sure >= p.sure - 1e-9:
                 out[e, w] = part >= p.remove - 1e-9
     return out
 
@@ -86,11 +87,11 @@ def test_spans_equal_brute_force_statistics(spark):
     mails = ["q@r.st", "u@v.wx", "10.1.2.3"]
     texts = [" ".join(rnd.choice(words) for _ in range(12)) + (" " + rnd.choice(mails) + " " + rnd.choice(words[:6]) if rnd.random() < 0.4 else "") for _ in range(90)]
     texts += texts[:20]
-    p = pii.Disclosure(disclose=0.3, remove=0.6)
+    p = pii.Disclosure(disclose=0.3, remove=0.6, sure=0.4)
     told = brute_disclosed(texts, p)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     for held in (200_000, 3):  # beyond the bound the other way is taken
-        got = {r.doc_id: r.spans for r in pii.find(df, p=pii.Disclosure(0.3, 0.6, held=held)).collect()}
+        got = {r.doc_id: r.spans for r in pii.find(df, p=pii.Disclosure(0.3, 0.6, held=held, sure=0.4)).collect()}
         for i, t in enumerate(texts):
             ents = set(pii.entities(t, pii.base_spans(t)))
             mine = {w: any(told.get((e, w), False) for e in ents) for w in pii.terms(t) if any((e, w) in told for e in ents)}
@@ -106,5 +107,29 @@ def test_terms_that_reveal_the_class_of_single_entities_go(spark):
     rows = [f"Acme Xk9 wrote from p{i}@acme.org on topic. common words stand here" for i in range(5)] + [f"on topic. common words wrote from here {i}" for i in range(40)]
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
     out = {r.doc_id: r.text for r in pii.sanitise(df, p=pii.Disclosure(remove=1.1)).collect()}
-    assert all(out[i] == "[NAME] [NAME] wrote from [EMAIL] on topic. common words stand here".replace("stand", "[WORD]") for i in range(5))
+    assert all(out[i] == "[NAME] [CODE] wrote from [EMAIL] on topic. common words stand here".replace("stand", "[WORD]") for i in range(5))
     assert all(out[i] == rows[i] for i in range(5, 45))
+
+
+def test_one_text_tells_nothing_and_two_do():
+    p = pii.Disclosure()
+    assert p.texts == 2 and p.bound(1, 1) < p.sure <= p.bound(1, 2) and p.bound(0.5, 1000) < p.sure
+
+
+def test_names_of_two_words_are_terms(spark):
+    rows = [f"Ada Lovelace Byron wrote to ada@x.org item{i} in common words" for i in range(4)] + [f"Ada wrote to Lovelace, Byron in common words {i}" for i in range(30)]
+    assert {"ada lovelace", "lovelace byron"} <= pii.terms(rows[0]) and "ada lovelace" not in pii.terms(rows[9])
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df, p=pii.Disclosure(disclose=0.7, remove=1.1)).collect()}
+    assert out[0] == "[NAME] Byron wrote to [EMAIL] item0 in common words".replace("item0", "[WORD]0") and out[20] == rows[20]
+
+
+def test_query_spans_equal_brute_force_statistics(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    told = brute_disclosed(list(docs.values()), pii.Disclosure())
+    for r in pii.op6_pii(spark, sf).collect():
+        t = docs[r.doc_id]
+        ents = set(pii.entities(t, pii.base_spans(t)))
+        mine = {w: any(told.get((e, w), False) for e in ents) for w in pii.terms(t) if any((e, w) in told for e in ents)} if ents else {}
+        assert r.spans == pii.joined(pii.all_spans(t, mine))

@@ -2,10 +2,11 @@
 
 The patterns' matches are the protected entities, and so are the broader classes they lie in (an email's domain,
 an address's network, a card's issuer, a phone's area): most values stand in one text only, where no
-statistic tells anything, but their classes recur. A kind as a whole is no such class, as its mark names it. Over the whole corpus, a term's point-wise mutual
-information with an entity says how much it tells of it; in parts of the entity's own information
-that is between 0 (nothing) and 1 (the term never occurs without it). A term at or above `disclose` in enough
-different texts is generalised in the texts that hold the entity, at or above `remove` removed.
+statistic tells anything, but their classes recur. A kind as a whole is no such class, as its mark names it. Over the whole corpus, the
+point-wise mutual information of a term (a word, a mixed word, two capitalised words in a row) with an entity says how much it tells of it; in parts of the entity's own information
+that is between 0 (nothing) and 1 (the term never occurs without it). Support is weighed: of the share of a term's texts that hold the
+entity the lower confidence bound must reach `sure`, which one text never does, two do without a counterexample, and
+more with some. Such a term at or above `disclose` is generalised in the texts that hold the entity, at or above `remove` removed.
 
 Only texts that hold an entity that recurs are opened up into terms; counts of terms are combined in each
 task before they are shuffled. The texts of other documents are never shuffled.
@@ -14,6 +15,7 @@ task before they are shuffled. The texts of other documents are never shuffled.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -35,18 +37,31 @@ CARD = re.compile(r"[0-9](?:[ -]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 TERM = re.compile(r"[^\W\d_]{2,}")
+#: Two capitalised words in a row, as names are; the second may begin another pair.
+PHRASE = re.compile(r"(?<!\d)[A-ZÀ-ÖØ-Þ][^\W\d_]++(?= ([A-ZÀ-ÖØ-Þ][^\W\d_]++)(?!\d))")
 #: Whole words of letters and digits.
 MIXED = re.compile(r"(?<![^\W_])(?:[^\W\d_]++\d|\d++[^\W\d_])[^\W_]*+")
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """`disclose`, `remove`: parts of an entity's information; `texts`: different texts that must hold both. `held`: entries that a task combines, and terms that may be broadcast."""
+    """`disclose`, `remove`: parts of an entity's information; `sure`: what the lower confidence bound, at `z` deviations, of the share of a term's texts that hold the entity must reach. `held`: entries that a task combines, and terms that may be broadcast."""
 
     disclose: float = 0.9
     remove: float = 1.0
-    texts: int = 3
     held: int = 200_000
+    sure: float = 0.5
+    z: float = 1.2816
+
+    @property
+    def texts(self) -> int:
+        """The fewest different texts whose support can suffice."""
+        return max(1, math.ceil(self.z**2 * self.sure / max(1e-9, 1 - self.sure) - 1e-9))
+
+    def bound(self, share: Column | float, n: Column | float, sqrt=math.sqrt) -> Column | float:  # noqa: ANN001
+        """Wilson's lower bound of a share seen in n texts."""
+        zz = self.z**2
+        return (share + zz / (2 * n) - self.z * sqrt(share * (1 - share) / n + zz / (4 * n * n))) / (1 + zz / n)
 
 
 def luhn(digits: str) -> bool:
@@ -100,33 +115,42 @@ def entities(t: str, spans: list[tuple[str, int, int]]) -> list[int]:
     return sorted(xxhash.xxh64_intdigest(x) - (1 << 63) for x in out)
 
 
+def phrases(t: str) -> Iterator[tuple[str, int, int]]:
+    for m in PHRASE.finditer(t):
+        yield f"{m[0]} {m[1]}".lower(), m.start(), m.end(1)
+
+
 def terms(t: str) -> set[str]:
-    """Runs of two letters or more, and words that mix letters and digits."""
+    """Runs of two letters or more, words that mix letters and digits, and pairs of capitalised words."""
     low = t.lower()
-    return {*TERM.findall(low), *(MIXED.findall(low) if DIGIT.search(low) else ())}
+    return {*TERM.findall(low), *(MIXED.findall(low) if DIGIT.search(low) else ()), *(p for p, _, _ in phrases(t))}
 
 
 def all_spans(t: str, found: dict[str, bool]) -> list[tuple[str, int, int]]:
     """Base spans and those of the disclosing terms (`found`: whether to remove) that overlap none of them."""
     out = base_spans(t)
-    for pattern in (MIXED, TERM):  # a mixed word goes before the letters in it
+    # a pair of words goes before each, a mixed word before the letters in it
+    for each in (phrases(t), ((m[0].lower(), *m.span()) for m in MIXED.finditer(t)), ((m[0].lower(), *m.span()) for m in TERM.finditer(t))):
         taken = iter([*sorted((s, e) for _, s, e in out), (len(t) + 1, len(t) + 1)])
         s0, e0 = next(taken)
-        for m in pattern.finditer(t):
-            while e0 <= m.start():
+        free = 0
+        for term, start, end in each:
+            while e0 <= start:
                 s1, e1 = next(taken)
                 s0, e0 = s1, max(e0, e1)
-            if m.end() <= s0 and m[0].lower() in found:
-                out.append(("term", *m.span()))
+            if start >= free and end <= s0 and term in found:
+                out.append(("term", start, end))
+                free = end
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 def sanitise_text(t: str, found: dict[str, bool]) -> str:
-    """Entities become [KIND]; terms become [NAME] or [WORD], by their first letter, or go. Overlapping spans become the first one's mark."""
+    """Entities become [KIND]; terms become the class they are of, [CODE] (letters and digits), [NAME] (a capital) or [WORD], or go. Overlapping spans become the first one's mark."""
     out, at = [], 0
     for kind, s, e in all_spans(t, found):
         if s >= at:
-            mark = f"[{kind.upper()}]" if kind != "term" else "" if found[t[s:e].lower()] else "[NAME]" if t[s].isupper() else "[WORD]"
+            of = "[CODE]" if DIGIT.search(t, s, e) else "[NAME]" if t[s].isupper() else "[WORD]"
+            mark = f"[{kind.upper()}]" if kind != "term" else "" if found[t[s:e].lower()] else of
             out += [t[at:s], mark]
         at = max(at, e)
     return "".join([*out, t[at:]])
@@ -189,7 +213,8 @@ def _pair_counts(texts: DataFrame, p: Disclosure) -> DataFrame:
                 for w in terms(body):
                     for e in (None, *ents):
                         sums.add((e, w), 1, n)
-                yield from sums.flush(p.held)
+                        if len(sums.sums) >= p.held:
+                            yield from sums.flush(p.held)
         yield from sums.flush(1)
 
     x = texts.select("entities", "body", "n").mapInArrow(run, "entity bigint, term string, n_texts bigint, n_rows bigint")
@@ -221,7 +246,8 @@ def _few(df: DataFrame, column: str, most: int) -> set[str] | None:
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", p: Disclosure = Disclosure()) -> DataFrame | None:
     """(key, terms: array<struct<term, removed>>) of the texts that hold a term that reveals one of their entities; None if no entity recurs.
 
-    `found`: of scan(), cut from its lineage. Counts of entities, terms and both are over all rows; support over different texts.
+    `found`: of scan(), cut from its lineage. Counts of entities, terms and both are over all rows; the confidence is that of different texts: as many
+    as hold both, and in proportion those that hold the term alone.
     """
     spark = docs.sparkSession
     held = found.filter("entities is not null")
@@ -236,22 +262,24 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text",
     own = F.log2(F.lit(total) / F.col("n_entity"))
     part = lambda n_term: F.when(own > 0, F.log2(F.col("n_rows") * F.lit(total) / (F.col("n_entity") * F.col(n_term))) / own).otherwise(0.0)
     every = cut(_pair_counts(texts, p))
-    pairs = every.filter("entity is not null").filter(F.col("n_texts") >= p.texts).select("entity", "term", "n_rows").join(often.select("entity", "n_entity"), "entity")
+    pairs = every.filter("entity is not null").filter(F.col("n_texts") >= p.texts).select("entity", "term", "n_texts", "n_rows").join(often.select("entity", "n_entity"), "entity")
     # the whole corpus holds a term at least as often as these texts do, so pairs that fall short by their count alone go: exact
     pairs = pairs.join(every.filter("entity is null").select("term", F.col("n_rows").alias("n_held")), "term").filter(part("n_held") >= p.disclose - 1e-6)
-    pairs = cut(pairs.select("entity", "term", "n_rows", "n_entity"))
+    pairs = cut(pairs.select("entity", "term", "n_texts", "n_rows", "n_entity"))
     counts = _term_counts(docs, text_col, _few(pairs, "term", p.held), p)
-    reveals = pairs.join(counts, "term").select("entity", "term", part("n_term").alias("part"))
-    reveals = cut(reveals.filter(F.col("part") >= p.disclose - 1e-9).select("entity", "term", (F.col("part") >= p.remove - 1e-9).alias("removed")))
+    share = F.least(F.lit(1.0), F.col("n_rows") / F.col("n_term"))
+    reveals = pairs.join(counts, "term").select("entity", "term", part("n_term").alias("part"), p.bound(share, F.col("n_texts") / share, F.sqrt).alias("bound"))
+    reveals = cut(reveals.filter((F.col("part") >= p.disclose - 1e-9) & (F.col("bound") >= p.sure - 1e-9)).select("entity", "term", (F.col("part") >= p.remove - 1e-9).alias("removed")))
     wanted = _few(reveals, "term", p.held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, ents, body in zip(*(b.column(i).to_pylist() for i in range(3))):  # noqa: B905
                 ws = sorted(terms(body) if wanted is None else terms(body) & wanted)
-                rows = [(key, e, w) for e in ents for w in ws]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.string(), pa.int64(), pa.string()])], ["key", "entity", "term"])  # noqa: B905
+                for e in ents:  # a text's terms go on for one entity at a time
+                    for i in range(0, len(ws), 50_000):
+                        part_of = ws[i : i + 50_000]
+                        yield pa.RecordBatch.from_arrays([pa.array([key] * len(part_of), pa.string()), pa.array([e] * len(part_of), pa.int64()), pa.array(part_of, pa.string())], ["key", "entity", "term"])
 
     if wanted is not None and not wanted:
         return spark.createDataFrame([], "key string, terms array<struct<term:string,removed:boolean>>, body string")
