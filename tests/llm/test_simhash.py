@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -81,7 +82,7 @@ def test_links_connect_what_all_pairs_connect(spark):
     a = np.array(sorted(fps), np.uint64)
     want = brute_components(a.tolist(), [(int(a[i]), int(a[j])) for i in range(len(a)) for j in np.flatnonzero(np.bitwise_count(a[:i] ^ a[i]) <= 4)])
     df = spark.createDataFrame(pd.DataFrame({"fp": a.view(np.int64)}))
-    for segments, block in ((3, 2048), (2, 64), (4, 50)):
+    for segments, block in ((simhash.layout(4, 3), 2048), (simhash.layout(4, 2), 64), (simhash.layout(4, 4), 50), (simhash.ring(), 2048), (simhash.ring(), 64)):
         links = simhash.hamming_links(df, 4, segments, block)
         rows = [(r.src % 2**64, r.dst % 2**64) for r in links.collect()]
         assert brute_components(a.tolist(), rows) == want
@@ -102,3 +103,14 @@ def test_one_id_of_different_texts_loses_no_class(spark):
     for rows in ([(3, a), (5, a), (5, b)], [(3, a), (5, b), (5, a), (5, c), (5, c)]):
         got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(1)).collect()
         assert sorted((r.doc_id, r.text) for r in got) == sorted({(3, a)} | {r for r in rows if r[1] != a})
+
+
+def test_every_layout_finds_every_pattern_of_four_bits():
+    """By the number of differing bits in each of the least parts, which is all that a layout sees."""
+    for n in (10, simhash.THREE, simhash.FIVE):
+        segments = simhash.layout_for(n)
+        edges = sorted({x for parts, _ in segments for s, w in parts for x in (s, s + w)} | {0, 64})
+        cells = list(zip(edges, edges[1:]))  # noqa: B905
+        for bits in itertools.combinations_with_replacement(range(len(cells)), 4):
+            near = [sum(any(s <= cells[b][0] and cells[b][1] <= s + w for s, w in parts) for b in bits) <= r for parts, r in segments]
+            assert any(near), (n, bits)

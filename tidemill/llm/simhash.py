@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, table
+from .common import cut, join_hot, partitions, table
 from .graph import components
 
 RADIUS, WORDS, SEED = 4, 4, 42
@@ -58,30 +58,49 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, schema)
 
 
-def layout(radius: int, segments: int) -> list[tuple[int, int, int]]:
-    """(shift, width, radius) of each segment. By the pigeonhole rule with q, a = divmod(radius, segments), a + 1 segments are searched to radius q and the others to q - 1 (not at all if that is negative)."""
+#: A segment: the (shift, width) of its parts, low bits first, and the radius of the ball around its value.
+Segment = tuple[tuple[tuple[int, int], ...], int]
+#: Fingerprints up to which three segments of 21 or 22 bits keep buckets small; up to which five of 25 or 26 bits do.
+THREE, FIVE = 1 << 24, 1 << 32
+
+
+def layout(radius: int, segments: int) -> list[Segment]:
+    """Disjoint segments. By the pigeonhole rule with q, a = divmod(radius, segments), a + 1 segments are searched to radius q and the others to q - 1 (not at all if that is negative)."""
     q, a = divmod(radius, segments)
     widths = [64 // segments + (i < 64 % segments) for i in range(segments)]
     out, at = [], 0
     for i, w in enumerate(widths):
         r = q if i <= a else q - 1
         if r >= 0:
-            out.append((at, w, r))
+            out.append((((at, w),), r))
         at += w
     return out
 
 
+def ring() -> list[Segment]:
+    """Five segments of two fifths of the bits each, neighbours in a ring of the fifths, searched to radius 1.
+
+    They find every pair within 4 bits: were there two differing bits or more in every two neighbouring fifths, these
+    five sums, which count each bit twice, would come to 10 at least, and 4 bits make 8.
+    """
+    widths = [13, 13, 13, 13, 12]
+    parts = [(sum(widths[:i]), w) for i, w in enumerate(widths)]
+    return [((parts[i], parts[(i + 1) % 5]), 1) for i in range(5)]
+
+
+def layout_for(n: int, radius: int = RADIUS) -> list[Segment]:
+    """Segments of about log2(n) bits, so that a bucket holds a few fingerprints: about 26 entries a fingerprint, 70 beyond THREE, 280 beyond FIVE. Each finds every pair."""
+    if n < THREE or radius > 4:
+        return layout(radius, 3)
+    return ring() if n < FIVE else layout(radius, 2)
+
+
 def _ball(width: int, radius: int) -> list[int]:
     from itertools import combinations
 
     return [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
-def _segments_for(n: int) -> int:
-    """Segments of about log2(n) bits keep buckets small: 3 up to 2^24 fingerprints, 2 beyond. Either finds every pair."""
-    return 3 if n < 1 << 24 else 2
-
-
 class _Union:
     """Union-find over the fingerprints of one task's chunk."""
 
@@ -147,19 +166,21 @@ def _link_chunk(gid: np.ndarray, member: np.ndarray, fp: np.ndarray, radius: int
     return out
 
 
-def _entries(i: int, shift: int, width: int, radius: int) -> Column:
+def _entries(i: int, parts: tuple[tuple[int, int], ...], radius: int) -> Column:
     """What a fingerprint puts into table i: itself, and its probes. Of two values the lesser probes for the greater, so a pair meets once."""
-    seg = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    seg, width = F.lit(0).cast("long"), 0
+    for shift, w in parts:
+        bits = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << w) - 1).cast("long"))
+        seg, width = seg.bitwiseOR(F.shiftleft(bits, width)), width + w
     ball = F.array(*[F.lit(x).cast("long") for x in _ball(width, radius)])
     probes = F.filter(F.transform(ball, lambda x: seg.bitwiseXOR(x)), lambda k: k >= seg)
     entry = lambda k, member: F.struct(F.lit(i).alias("seg"), k.alias("key"), F.lit(member).alias("member"))
     return F.concat(F.array(entry(seg, True)), F.transform(probes, lambda k: entry(k, False)))
 
 
-def hamming_links(fps: DataFrame, radius: int = RADIUS, segments: int | None = None, block: int = BLOCK) -> DataFrame:
+def hamming_links(fps: DataFrame, radius: int = RADIUS, segments: list[Segment] | None = None, block: int = BLOCK) -> DataFrame:
     """(src, dst) over the distinct longs of column `fp`: links that connect all that all pairs within `radius` bits connect."""
-    segments = segments or _segments_for(fps.count())
-    rows = [_entries(i, *segment) for i, segment in enumerate(layout(radius, segments))]
+    rows = [_entries(i, *segment) for i, segment in enumerate(segments or layout_for(fps.count(), radius))]
     p = fps.select("fp", F.explode(F.concat(*rows)).alias("x")).select("fp", "x.*")
     # buckets beyond a block are rare: at most entries / block
     hot = p.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
@@ -199,14 +220,14 @@ def hamming_links(fps: DataFrame, radius: int = RADIUS, segments: int | None = N
     return met.mapInArrow(run, "src bigint, dst bigint")
 
 
-def classes(fps: DataFrame, radius: int = RADIUS, segments: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Of (id, fp): the rows themselves, cut from their lineage, and (fp, root, component_id); component_id is the least id of the class, null if it has none."""
+def classes(fps: DataFrame, radius: int = RADIUS, segments: list[Segment] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of (id, fp): the rows themselves, cut from their lineage, and (fp, root, component_id, rows); component_id is the least id of the class, null if it has none, rows those that have the fingerprint."""
     rows = cut(fps)
-    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(hamming_links(distinct.select("fp"), radius, segments))
-    labelled = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows, labelled.select("fp", "root").join(least, "root")
+    labelled = cut(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")))
+    least = cut(labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("fps")))
+    return rows, cut(join_hot(labelled.drop("least"), least, "root", "fps").select("fp", "root", "component_id", "rows"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -216,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty. A row with a null id has a fingerprint and the component's least id, and is not kept. Other columns are not read.
     """
     rows, by_fp = classes(fingerprints(docs, id_col, text_col), radius)
-    x = rows.join(by_fp, "fp")
+    x = join_hot(rows, by_fp, "fp", "rows")
     return x.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
@@ -224,8 +245,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of `docs`, unchanged, that stand for their class: one of each.
 
     Ids that stand for a class select rows by a semi-join, repeated ids together with the class's least
-    fingerprint that has the id; rows that repeat both give one row. A
-    class whose ids are all null keeps one of its rows.
+    fingerprint that has the id; of rows that repeat both, and of a class whose ids are all null, the row whose content has the
+    least hash stays.
     """
     rows, by_fp = classes(fingerprints(docs, id_col, text_col), radius)
     least = by_fp.select(F.col("component_id").alias("__least")).filter("__least is not null").distinct()
@@ -235,16 +256,21 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         mark = out.select(F.struct("*").alias("row"), out[id_col].alias("__id"), out[text_col].cast("string").alias("t_")).join(twice, F.col("__id") == twice["__twice"], "left")
         stands = rows.join(twice, F.col("id") == F.col("__twice")).join(by_fp, "fp").filter("id = component_id").groupBy("root").agg(F.min("id").alias("__id"), F.min("fp").alias("fp"))
         again = _with_fingerprint(mark.filter("__twice is not null")).join(stands.select("__id", "fp"), ["__id", "fp"], "left_semi")
-        more = again.groupBy("__id", "fp").agg(F.first("row").alias("row")).select("row.*")
+        more = again.groupBy("__id", "fp").agg(_one_row()).select("row.*")
         out = mark.filter("__twice is null").select("row.*").unionByName(more)
     if rows.filter("id is null").limit(1).count():
         lone = by_fp.filter("component_id is null").select("fp", "root")
         nulls = docs.filter(docs[id_col].isNull()).select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("t_"))
         marked = _with_fingerprint(nulls).join(lone, "fp")
-        out = out.unionByName(marked.groupBy("root").agg(F.first("row").alias("row")).select("row.*"))
+        out = out.unionByName(marked.groupBy("root").agg(_one_row()).select("row.*"))
     return out
 
 
+def _one_row() -> Column:
+    """The row whose content has the least hash: the same one whenever it is computed."""
+    return F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row")
+
+
 def _with_fingerprint(df: DataFrame) -> DataFrame:
     @F.pandas_udf("bigint")
     def fp(t):  # noqa: ANN001, ANN202
