@@ -74,3 +74,32 @@ def test_odd_rows_and_clashing_columns(spark):
     assert sum(r.length for r in got) == 2 + 2 + 3 + 1 + 50_003
     assert sum(r.loss_tokens for r in got) == 1 + 1 + 3 + 1 + 50_001
     assert packing.pack_documents(df.limit(0)).count() == 0
+
+
+def test_instruction_data_meets_all_three_limits(spark):
+    sf, lim = "/root/testdata/sf0.1", packing.INSTRUCTIONS
+    rows = {(r.conv_id, r.turn): r for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()}
+    tok, at, loss = WordTokenizer.shared(), collections.Counter(), collections.Counter()
+    held, size, bears = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in sorted(packing.instruction_packing(spark, sf).collect(), key=lambda r: (r.conv_id, r.turn, r.start)):
+        key, before = (r.conv_id, r.turn), rows.get((r.conv_id, r.turn - 1))
+        head = tok.encode_bytes(before.text if before and before.role != "assistant" else "")
+        ids = head + tok.encode_bytes(rows[key].text or "") + np.array([2], "<u4").tobytes()
+        assert r.start == at[key] and r.doc_tokens == len(ids) // 4 and r.ids_crc32 == zlib.crc32(ids[4 * r.start : 4 * (r.start + r.length)])
+        assert r.loss_tokens == max(0, r.start + r.length - max(r.start, len(head) // 4))
+        at[key] += r.length
+        loss[key] += r.loss_tokens
+        held[r.sequence_id] += 1
+        size[r.sequence_id] += r.length
+        bears[r.sequence_id] += r.loss_tokens
+    assert at.keys() == {k for k, r in rows.items() if r.role == "assistant"}
+    assert max(held.values()) == lim.segments and max(size.values()) == lim.tokens and max(bears.values()) == lim.loss_tokens
+    assert all(n == lim.tokens or n & (n - 1) == 0 for n in size.values())
+
+
+def test_instruction_examples_take_odd_rows(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "x"), (1, 2, "assistant", None), (None, 1, "assistant", "y"), (2, None, "assistant", "z"), (3, 1, None, "w"), (3, 2, "assistant", "v"), (3, 2, "assistant", "v")]
+    df = spark.createDataFrame([(*r, "p", 0) for r in rows], "conv_id long, turn long, role string, text string, prompt string, c_ int")
+    got = sorted(((r.conv_id, r.turn, r.prompt, r.text) for r in packing.instruction_examples(df).collect()), key=str)
+    assert got == sorted([(1, 1, "a", "x"), (1, 2, None, None), (None, 1, None, "y"), (2, None, None, "z"), (3, 2, None, "v"), (3, 2, None, "v")], key=str)
+    assert packing.instruction_examples(df.limit(0)).count() == 0

@@ -40,7 +40,7 @@ def test_viterbi_is_best_and_words_are_independent():
     for _ in range(300):
         s = SPACE + "".join(rnd.choice(["a", "th", "ing", SPACE, "é", "ß", "\n", "中", "😀", "er", ".", "10"]) for _ in range(rnd.randint(1, 12)))
         ids = p.viterbi(s)
-        assert score(p, s, ids) == brute_best(p, s)
+        assert abs(score(p, s, ids) - brute_best(p, s)) < 1e-9
         assert p.encode(s[1:].replace(SPACE, " ")) == ids
 
 
@@ -74,3 +74,16 @@ def test_odd_rows_and_clashing_columns(spark):
     back = decode(encode(df)).collect()
     assert sorted(((r.doc_id, r.text) for r in back), key=str) == sorted(rows, key=str)
     assert digests(df).filter("round_trip").count() == len(rows) and digests(df.limit(0)).count() == 0
+
+
+def test_whole_documents_take_no_more_ids_than_the_librarys_merges(spark, sf):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    p = Pieces.shared()
+    ours, theirs = sum(len(p.encode(t)) for t in texts), sum(map(len, lib.encode(texts, num_threads=1)))
+    words = [w for t in texts for w in t.split()[:100]]
+    same = sum(p.encode(w) == lib.encode(w) for w in words) / len(words)
+    assert ours <= 1.01 * theirs and same > 0.75
+    assert [p.text_of[i] for i in p.encode("international understanding")] == ["▁international", "▁understanding"]

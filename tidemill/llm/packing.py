@@ -172,10 +172,10 @@ class Packer:
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), vocabulary: str | None = None, prompt_col: str | None = None, end_id: int = 2) -> DataFrame:
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, loss_tokens, sequence_id, offset.
 
-    A document's ids are those of its text and then `end_id`; each lies in exactly one piece. Null text
+    A document's ids are those of its text, after those of its prompt, and then `end_id`; each lies in exactly one piece. Null text
     counts as empty (one id, the end). `prompt_col`: text that stands before and bears no loss. A null id is carried as it
     is; repeated rows are packed each for itself; an empty table gives an empty result. Sequence ids are unique: the
-    partition's number times 2^33, plus a count. A task that runs anew gives the same rows, as
+    partition's number times 2^33, plus a count. Of examples with equal products the one that came first goes first. A task that runs anew gives the same rows, as
     its input comes in the order of its file.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -218,5 +218,27 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_vector_packing": op10_vector_packing}
+#: Limits for instruction data: short answers meet the segments first, long ones the loss-bearing tokens, long prompts the tokens.
+INSTRUCTIONS = Limits(tokens=4096, segments=16, loss_tokens=3584)
+
+
+def instruction_examples(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, prompt, text): each assistant turn, with the turn before it as its prompt if that is of another role.
+
+    Turns are paired by a join on conversation and turn, so a conversation of any length meets in no one task. Of repeated
+    turns before it the text that sorts first is the prompt; repeated assistant turns are examples each for itself.
+    """
+    said = conversations.filter("role <> 'assistant' and conv_id is not null and turn is not null").groupBy(F.col("conv_id").alias("c_"), (F.col("turn") + 1).alias("t_")).agg(F.min("text").alias("prompt"))
+    answers = conversations.filter("role = 'assistant'").select("conv_id", "turn", "text")
+    return answers.join(said, (F.col("conv_id") == F.col("c_")) & (F.col("turn") == F.col("t_")), "left").select("conv_id", "turn", "prompt", "text")
+
+
+def instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query: the assistant turns of all `conversations` with their prompts, which bear no loss, under three limits that all bind."""
+    examples = instruction_examples(table(spark, sf_dir, "conversations")).sortWithinPartitions("conv_id", "turn", "text")  # the same order whenever a task runs
+    x = pack_documents(examples.select(F.struct("conv_id", "turn").alias("example"), "prompt", "text"), "example", "text", INSTRUCTIONS, prompt_col="prompt")
+    return x.select("example.conv_id", "example.turn", *x.columns[1:])
+
+
+QUERIES = {"op10_vector_packing": op10_vector_packing, "instruction_packing": instruction_packing}
 ORACLE_SQL: dict[str, str] = {}

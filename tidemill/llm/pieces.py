@@ -4,10 +4,15 @@ An Aho-Corasick automaton over the pieces reads a text once; at each position it
 the pieces that end there, longest first, and each relaxes the best score of a segmentation up to that
 position. Ties go to the longer last piece. No piece spans the start of a word, so words are
 segmented one at a time and remembered.
+
+A Viterbi search needs log probabilities. A model of merges holds ranks in their place, and sums of ranks prefer many early
+pieces to one late one; its pieces get the law of Zipf and Mandelbrot, -log(rank + SHIFT), a fixed rule of the
+vocabulary's order. Nothing is trained. Scores that are no ranks are used as they are.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -21,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 SPACE = "▁"
+#: Of the law by which ranks become scores.
+SHIFT = 1000
 CACHE = 1 << 19
 
 
@@ -43,7 +50,10 @@ class Pieces:
             n = m.vocab_size()
             usual = [i for i in range(n) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
             byte = {int(m.id_to_piece(i)[1:-1], 16): i for i in range(n) if m.is_byte(i)}
-            cls._shared[path] = cls({m.id_to_piece(i): (i, m.get_score(i)) for i in usual}, byte, m.unk_id())
+            scores = [m.get_score(i) for i in usual]
+            if all(x <= 0 and x == int(x) for x in scores):  # ranks
+                scores = [-math.log(SHIFT - x) for x in scores]
+            cls._shared[path] = cls({m.id_to_piece(i): (i, x) for i, x in zip(usual, scores)}, byte, m.unk_id())  # noqa: B905
         return cls._shared[path]
 
     def __init__(self, scores: dict[str, tuple[int, float]], byte: dict[int, int], unknown: int) -> None:
@@ -147,7 +157,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
-    """id, n_ids, n_bytes_ids (of characters without a piece), ids_crc32, round_trip (decoding gives the text back). Null text counts as empty."""
+    """id, n_ids, n_byte_ids (of characters without a piece), ids_crc32, round_trip (decoding gives the text back). Null text counts as empty, null ids are carried, repeated rows counted each for itself, other columns not read; an empty table gives an empty result."""
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_ids bigint, n_byte_ids bigint, ids_crc32 bigint, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
