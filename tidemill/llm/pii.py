@@ -129,6 +129,8 @@ def terms(t: str) -> set[str]:
 def all_spans(t: str, found: dict[str, bool]) -> list[tuple[str, int, int]]:
     """Base spans and those of the disclosing terms (`found`: whether to remove) that overlap none of them."""
     out = base_spans(t)
+    if not found:
+        return out
     # a pair of words goes before each, a mixed word before the letters in it
     for each in (phrases(t), ((m[0].lower(), *m.span()) for m in MIXED.finditer(t)), ((m[0].lower(), *m.span()) for m in TERM.finditer(t))):
         taken = iter([*sorted((s, e) for _, s, e in out), (len(t) + 1, len(t) + 1)])
