@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-from . import corpus_queries, dedup_queries, filter_queries  # noqa: E402
+from . import adapter_queries, corpus_queries, dedup_queries, filter_queries  # noqa: E402
 
-MODULES: list = [dedup_queries, filter_queries, corpus_queries]
+MODULES: list = [dedup_queries, filter_queries, corpus_queries, adapter_queries]
 
 
 def queries() -> dict[str, Query]:
