@@ -84,10 +84,17 @@ def test_owners_in_streams_go_by_position(spark, tmp_path):
     src = str(tmp_path / "src")
     spark.createDataFrame([(10, "B", "Same text"), (9, "A", "same text!"), (11, "B", "same, text")], "id long, ds string, t string").coalesce(1).write.parquet(src)
     stream = spark.readStream.schema("id long, ds string, t string").parquet(src)
-    q = S.write_kept_and_dropped(S.exact_cross_source(stream, F.col("t"), "ds", "id", ttl="30 days"), str(tmp_path / "kept"), str(tmp_path / "dropped"), str(tmp_path / "cp"))
-    q.awaitTermination(120)
-    assert [(r.key, r.owner) for r in spark.read.parquet(str(tmp_path / "kept")).collect()] == [("9", "A")]
-    assert {r.key for r in spark.read.parquet(str(tmp_path / "dropped")).collect()} == {"10", "11"}
+    for ttl, trigger in ((None, {"availableNow": True}), ("30 days", {"processingTime": "1 second"})):
+        at = str(tmp_path / str(ttl))
+        q = S.write_kept_and_dropped(S.exact_cross_source(stream, F.col("t"), "ds", "id", ttl=ttl), f"{at}/kept", f"{at}/dropped", f"{at}/cp", **trigger)
+        q.awaitTermination(1 if ttl else 60)
+        for _ in range(60):  # with a ttl the stream goes on
+            if any(p["numInputRows"] for p in q.recentProgress):
+                break
+            time.sleep(0.5)
+        q.stop()
+        assert [(r.key, r.owner) for r in spark.read.parquet(f"{at}/kept").collect()] == [("9", "A")]
+        assert {r.key for r in spark.read.parquet(f"{at}/dropped").collect()} == {"10", "11"}
 
 
 def test_reports_say_what_they_leave_out_and_empty_parts_are_not_written(spark, tmp_path):

@@ -27,7 +27,7 @@ def exact_cross_source(df: DataFrame, text: Column, dataset: str, key: str, pos:
 
     Rows of an earlier micro-batch came first; in one micro-batch, the row with the least `pos` (by default the key, in its own
     order: numbers as numbers), then the dataset that sorts first. One owner for each hash is held as state, for good or until no row of that hash has come
-    for `ttl` ('30 days'). The rows of a hash in one micro-batch are read by one task, without their texts.
+    for `ttl` ('30 days'); with a ttl the stream runs by processing time, as "available now" waits for the timeouts. The rows of a hash in one micro-batch are read by one task, without their texts.
     """
     kind = df.schema[pos or key].dataType.simpleString()
     x = df.select(X.text_hash(X.dedup_norm(text)).alias("h"), F.col(key).cast("string").alias("key"), X.missing(dataset).alias("dataset"), F.col(pos or key).alias("pos"))
