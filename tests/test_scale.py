@@ -120,3 +120,14 @@ def test_language_profile(spark):
 def test_labels_of_languages(spark):
     rows = [("__label__deu_Latn", "de"), ("zho_Hant", "zh"), ("__label__EN", "en"), ("xyz_Latn", "xy")]
     assert all(r.c == r.w for r in spark.createDataFrame(rows, "l string, w string").select(X.language_code("l").alias("c"), "w").collect())
+
+
+def test_public_sets_that_are_there_are_registered(spark, tmp_path):
+    name = "open-r1/Mixture-of-Thoughts"
+    for part in ("math", "code", "unheard_of"):
+        spark.range(3).write.parquet(str(tmp_path / readers.folder_of(name) / part))
+    spark.range(2).write.parquet(str(tmp_path / readers.folder_of("nvidia/Nemotron-Post-Training-Dataset-v2") / "math"))
+    reg = readers.public_registry(spark, str(tmp_path))
+    assert sorted(reg.sources) == ["nvidia/Nemotron-Post-Training-Dataset-v2", name] and sorted(reg.sources[name].paths) == ["code", "math"]
+    assert reg.read(spark, name).count() == 6 and {r.config for r in reg.read(spark, name).collect()} == {"math", "code"}
+    assert not readers.public_registry(spark, str(tmp_path / "none")).sources

@@ -48,6 +48,59 @@ class Registry:
         return df if most is None else (df.orderBy(pos) if pos else df).limit(most)
 
 
+# Public data sets by the kind of corpus, with their configurations or splits.
+CHAT_SETS = {
+    "open-thoughts/OpenThoughts3-1.2M": ["train"],
+    "allenai/Dolci-Think-SFT-7B": ["train"],
+    "PrimeIntellect/SYNTHETIC-2-SFT-verified": ["train"],
+    "open-r1/Mixture-of-Thoughts": ["math", "code", "science"],
+    "nvidia/Nemotron-Math-Proofs-v1": [],
+    "nvidia/Nemotron-Competitive-Programming-v1": ["competitive_coding_cpp_part00", "competitive_coding_cpp_part01", "competitive_coding_python_part00", "competitive_coding_python_part01", "infinibyte_part00", "infinibyte_part01"],
+    "nvidia/Nemotron-Math-v2": ["low", "medium", "high_part00", "high_part01", "high_part02"],
+    "a-m-team/AM-DeepSeek-R1-Distilled-1.4M": ["am_0.5M", "am_0.9M", "am_0.9M_sample_1k"],
+    "nvidia/Llama-Nemotron-Post-Training-Dataset": ["code", "math", "science", "chat", "safety"],
+    "nvidia/Nemotron-Post-Training-Dataset-v2": ["math", "code", "stem", "chat", "multilingual_ja", "multilingual_de", "multilingual_it", "multilingual_es", "multilingual_fr"],
+}
+REWARD_SETS = {
+    "allenai/Dolci-Think-RL-7B": ["train"],
+    "allenai/Dolci-Instruct-RL": ["train"],
+    "a-m-team/AM-Thinking-v1-RL-Dataset": ["train"],
+    "nvidia/Llama-Nemotron-Post-Training-Dataset": ["train"],
+    "nvidia/Nemotron-3-Nano-RL-Training-Blend": ["train"],
+    "nvidia/Nemotron-RL-ReasoningGym-v1": ["train"],
+    "PrimeIntellect/SYNTHETIC-2-RL": ["train"],
+    "MiniMaxAI/SynLogic": ["train"],
+    "TIGER-Lab/WebInstruct-verified": ["train"],
+    "CLUTRR/v1": ["train"],
+    "logicreasoning/logi_glue": ["train"],
+}
+
+
+def folder_of(name: str) -> str:
+    """A data set's folder: its name, the slash as two underscores."""
+    return name.replace("/", "__")
+
+
+def found_parts(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders below one, in order, in any store Spark reads."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    return sorted(s.getPath().getName() for s in fs.listStatus(base) if s.isDirectory()) if fs.exists(base) else []
+
+
+def public_registry(spark: SparkSession, root: str, sets: dict[str, list[str]] | None = None) -> Registry:
+    """The public data sets that lie below `root`, a folder for each and in it one for each part. Sets whose parts are not listed have those that are there; a set without any is left out."""
+    out = Registry()
+    for name, parts in (sets if sets is not None else CHAT_SETS | REWARD_SETS).items():
+        at = f"{root}/{folder_of(name)}"
+        there = found_parts(spark, at)
+        mine = [p for p in there if p in parts] if parts else there
+        if mine:
+            out.add(Source(name, {p: f"{at}/{p}" for p in mine}))
+    return out
+
+
 def first_existing(spark: SparkSession, paths: list[str]) -> str:
     """The first path that is there, in any store Spark reads."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
