@@ -92,12 +92,12 @@ class Blocking:
     batch: int = 20_000
 
 
-def blocked(df: DataFrame, norm: Column, p: Blocking, within: tuple[str, ...] = (), **columns: Column) -> DataFrame:
-    """(pos and other columns, norm, len, head, bin, counts) of texts that are not empty: all that candidates need. `within`: columns (a language) that keep their texts apart; they become part of the head."""
+def blocked(df: DataFrame, norm: Column, p: Blocking, within: tuple[str, ...] = (), counts: bool = True, **columns: Column) -> DataFrame:
+    """(pos and other columns, norm, len, head, bin and, if they are compared, `counts` of characters) of texts that are not empty: all that candidates need. `within`: columns (a language) that keep their texts apart; they become part of the head."""
     x = df.select(*[c.alias(n) for n, c in columns.items()], norm.alias("norm"), *[F.col(w).cast("string").alias(f"_w{i}") for i, w in enumerate(within)]).filter("norm <> ''")
     head = X.head_tokens("norm", p.head)
     apart = [F.coalesce(F.concat(F.lit("="), F.col(f"_w{i}")), F.lit("null")) for i in range(len(within))]
-    x = x.withColumns({"len": F.length("norm"), "head": F.concat_ws("\u0000", *apart, head) if within else head, "bin": X.length_bin("norm", p.width), "counts": class_counts(F.col("norm"))})
+    x = x.withColumns({"len": F.length("norm"), "head": F.concat_ws("\u0000", *apart, head) if within else head, "bin": X.length_bin("norm", p.width)} | ({"counts": class_counts(F.col("norm"))} if counts else {}))
     return x.drop(*[f"_w{i}" for i in range(len(within))])
 
 
@@ -131,13 +131,18 @@ def candidate_pairs(queries: DataFrame, candidates: DataFrame, p: Blocking, befo
 
 
 def distinct_owners(x: DataFrame, *carried: str) -> DataFrame:
-    """The first row of each norm (and head, where it holds more than the text's)."""
-    row = F.min(F.struct("pos", *carried, "norm", "len", "bin", "counts")).alias("o")
-    return x.groupBy(F.md5("norm").alias("k"), "head").agg(row).select("o.*", "head")
+    """The first row of each norm (and head, where it holds more than the text's), without the text."""
+    return _first_rows(x, ["head"], *carried)
 
 
-def _matches(queries: DataFrame, owners: DataFrame, p: Blocking, before: bool = True) -> DataFrame:
-    return _scored(candidate_pairs(queries, owners, p, before), queries, owners, p)
+def _first_rows(x: DataFrame, keys: list[str], *carried: str) -> DataFrame:
+    row = F.min(F.struct("pos", *carried, *[c for c in ("len", "bin", "counts") if c in x.columns])).alias("o")
+    return x.groupBy(F.md5("norm").alias("k"), *keys).agg(row).select("o.*", *keys)
+
+
+def _matches(queries: DataFrame, owners: DataFrame, texts: DataFrame, p: Blocking, before: bool = True) -> DataFrame:
+    """Scored pairs of `queries` and `owners`, whose texts stand at their places in `texts`."""
+    return _scored(candidate_pairs(queries, owners, p, before), queries, texts, p)
 
 
 def best_match(scored: DataFrame, *by: str) -> DataFrame:
@@ -149,7 +154,7 @@ def best_match(scored: DataFrame, *by: str) -> DataFrame:
 def fuzzy_set(df: DataFrame, text: Column, dataset: str = "dataset_id", pos: str = "pos", p: Blocking = Blocking(), reason: str = "fuzzy_duplicate", within: tuple[str, ...] = ()) -> DataFrame:
     """A row goes if its best earlier match belongs to another dataset: what one batch over the whole input decides. `within`: columns (a language) that keep their texts apart."""
     base = settled(blocked(df, X.dedup_norm(text), p, within, pos=F.col(pos), ds=X.missing(dataset)))
-    best = best_match(_matches(base, distinct_owners(base, "ds"), p), "q_pos")
+    best = best_match(_matches(base, distinct_owners(base, "ds"), base, p), "q_pos")
     x = df.join(best, df[pos] == best["q_pos"], "left").drop("q_pos")
     drop = F.col("_fuzzy_matched_dataset") != X.missing(dataset)
     return x.withColumn("_drop_reason", F.when(drop, reason)).withColumn("_keep", F.col("_drop_reason").isNull())
@@ -158,13 +163,12 @@ def fuzzy_set(df: DataFrame, text: Column, dataset: str = "dataset_id", pos: str
 def truth_aware_pairs(df: DataFrame, text: Column, truth: Column, dataset: str, pos: str, p: Blocking) -> DataFrame:
     """Scored pairs of earlier rows: q_pos, q_ds, score, cross, same_truth."""
     base = settled(blocked(df, X.dedup_norm(text), p, pos=F.col(pos), ds=X.missing(dataset), truth=X.truth_hash(truth)))
-    pairs = _matches(base, _owners_by_truth(base), p)
+    pairs = _matches(base, _owners_by_truth(base), base, p)
     return pairs.select("q_pos", "q_ds", "score", (F.col("q_ds") != F.col("c_ds")).alias("cross"), (F.col("q_truth") == F.col("c_truth")).alias("same_truth"))
 
 
 def _owners_by_truth(base: DataFrame) -> DataFrame:
-    row = F.min(F.struct("pos", "norm", "len", "bin", "counts")).alias("o")
-    return base.groupBy(F.md5("norm").alias("k"), "head", "ds", "truth").agg(row).select("o.*", "head", "ds", "truth")
+    return _first_rows(base, ["head", "ds", "truth"])
 
 
 def truth_aware_decision(pairs: DataFrame, skip_intra: tuple[str, ...] = ()) -> DataFrame:
@@ -195,7 +199,7 @@ def cross_collection(new: DataFrame, reference: DataFrame, text: Column, referen
     """New rows that match a reference collection go first; then those whose best earlier kept match belongs to another new source."""
     q = settled(blocked(new, X.dedup_norm(text), p, pos=F.col(pos), ds=X.missing(dataset)))
     r = settled(blocked(reference, X.dedup_norm(reference_text), p, ds=F.lit("reference")).dropDuplicates(["norm"]).withColumn("pos", F.xxhash64("norm")))
-    hit = _matches(q, r, p, before=False).select(F.col("q_pos").alias("_hit")).distinct()
+    hit = _matches(q, r, r, p, before=False).select(F.col("q_pos").alias("_hit")).distinct()
     x = settled(new.join(hit, new[pos] == hit["_hit"], "left"))
     gone = x.filter("_hit is not null").drop("_hit").withColumn("_drop_reason", F.lit("cross_collection_duplicate")).withColumn("_keep", F.lit(False))
     left = fuzzy_set(x.filter("_hit is null").drop("_hit"), text, dataset, pos, p, "intra_new_cross_source_duplicate")

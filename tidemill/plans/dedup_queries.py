@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedup as D
 from ..operators import reasons as R
+from ..session import settled
 from . import sql as S
 from .common import table
 
@@ -53,7 +54,7 @@ def dup_pairs_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucket_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = D.blocked(_docs(spark, sf_dir), X.dedup_norm("text"), P, pos=F.col("pos"), ds=X.missing("dataset_id"))
+    base = settled(D.blocked(_docs(spark, sf_dir), X.dedup_norm("text"), P, counts=False, pos=F.col("pos"), ds=X.missing("dataset_id")).withColumn("norm", F.md5("norm")))
     return D.candidate_pairs(base, D.distinct_owners(base, "ds"), P).select("q_pos", "c_pos", "offset")
 
 
