@@ -111,15 +111,15 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + overhead).cast("bigint").alias("size"), F.crc32(text).alias("crc"), F.sha2(text, 256).alias("key"))
-    rows = cut(rows)
+    rows = cut(rows.withColumn("no", F.monotonically_increasing_id()))  # written with the rows, so it stays
     placed = cut(assign_groups(rows.groupBy("key").agg(F.sum("size").alias("bytes")), shards).withColumnRenamed("key", "k_"))
     x = rows.join(placed, F.col("key") == F.col("k_"))
-    # slots: rows of a shard are numbered in blocks by a hash of the id, each after what the blocks before it hold
+    # slots: rows of a shard are numbered in blocks by a hash of the id, rows that repeat one over 64 of them, each after what the blocks before it hold
     blocks = max(1, -(-rows.count() // NUMBERED))
-    x = x.withColumn("block", F.pmod(F.xxhash64("id", "crc"), F.lit(blocks)))
+    x = x.withColumn("block", F.pmod(F.xxhash64("id", "crc", F.pmod("no", F.lit(64))), F.lit(blocks)))
     counts = x.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select(F.col("shard").alias("s_"), F.col("block").alias("b_"), (F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
-    x = x.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "block").orderBy("id", "key")))
+    x = x.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "block").orderBy("id", "key", "no")))
     x = x.join(before, (F.col("shard") == F.col("s_")) & (F.col("block") == F.col("b_")))
     return x.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("before") + F.col("nth") - 1).cast("bigint").alias("slot"), F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
 
