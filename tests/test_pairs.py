@@ -88,3 +88,25 @@ def test_two_names_are_compared_once_however_many_parts_have_them(spark, tmp_pat
     assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
     want = {(a[0], b[0]): round(indel_ratio(a[1], b[1]), 9) for a in rows for b in rows if a[0] < b[0] and a[2:] == b[2:]}
     assert {(r.p_partkey, r.k2): r.ratio for r in df.collect()} == want
+
+
+def test_truth_aware_rows_of_one_text_share_its_comparison(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_ROWS", 4)
+    rnd = random.Random(4)
+    base = [prose(rnd, rnd.choice([60, 95, 150])) for _ in range(6)]
+    rows = [(i, rnd.choice("ABC"), rnd.choice(["x", "y", None]), changed(rnd, rnd.choice(base), rnd.choice([0.0, 0.03, 0.08]))) for i in range(120)]
+    rows = [r if rnd.random() < 0.6 else (*r[:3], rnd.choice(rows)[3]) for r in rows]
+    df = spark.createDataFrame(rows, "pos long, dataset_id string, g string, t string")
+    from tidemill.functions import text as X
+
+    norm = {r.pos: r.n for r in df.select("pos", X.dedup_norm("t").alias("n")).collect()}
+    p = D.Blocking(metric="levenshtein", threshold=90.0)
+    want = {}
+    for pos, ds, g, _ in rows:
+        near = [r for r in rows[:pos] if norm[r[0]].split()[:2] == norm[pos].split()[:2] and abs(len(norm[r[0]]) // 100 - len(norm[pos]) // 100) <= 1 and abs(len(norm[r[0]]) - len(norm[pos])) <= 40 and levenshtein_ratio(norm[pos], norm[r[0]], 90.0) is not None]
+        cross, same = any(r[1] != ds for r in near), any(r[1] == ds and (r[2] or "") == (g or "") for r in near)
+        want[pos] = "fuzzy_cross_dataset" if cross else "fuzzy_intra_dataset_same_gt" if same else None
+    got = D.fuzzy_truth_aware(df, F.col("t"), F.col("g"), p=p)
+    assert {r.pos: r._drop_reason for r in got.collect()} == want
+    pairs = D.truth_aware_matches(df, F.col("t"), F.col("g"), "dataset_id", "pos", p, [90.0])
+    assert pairs.count() == pairs.select("q_pos").distinct().count()
