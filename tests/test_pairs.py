@@ -110,3 +110,13 @@ def test_truth_aware_rows_of_one_text_share_its_comparison(spark, monkeypatch):
     assert {r.pos: r._drop_reason for r in got.collect()} == want
     pairs = D.truth_aware_matches(df, F.col("t"), F.col("g"), "dataset_id", "pos", p, [90.0])
     assert pairs.count() == pairs.select("q_pos").distinct().count()
+
+
+def test_sequential_decisions_need_no_texts(spark):
+    rnd = random.Random(6)
+    t = prose(rnd, 130)
+    rows = [(0, "A", t), (1, "B", t[:-1] + "q"), (2, "A", "same head of quite another text"), (3, "B", t), (4, "C", changed(rnd, t, 0.02))]
+    df = spark.createDataFrame(rows, "pos long, dataset_id string, t string")
+    x = D.fuzzy_sequential(df, F.col("t"))
+    assert "norm" not in x._jdf.queryExecution().optimizedPlan().toString().split("MapInPandas", 1)[1].split("\n", 2)[1]
+    assert {r.pos: r._drop_reason is not None for r in x.collect()} == {0: False, 1: True, 2: False, 3: True, 4: True}
