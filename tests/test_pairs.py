@@ -120,3 +120,51 @@ def test_sequential_decisions_need_no_texts(spark):
     x = D.fuzzy_sequential(df, F.col("t"))
     assert "norm" not in x._jdf.queryExecution().optimizedPlan().toString().split("MapInPandas", 1)[1].split("\n", 2)[1]
     assert {r.pos: r._drop_reason is not None for r in x.collect()} == {0: False, 1: True, 2: False, 3: True, 4: True}
+
+
+def test_last_lanes_of_a_batch_and_long_texts_are_decided_later(monkeypatch):
+    monkeypatch.setattr(N, "REST", 2)
+    rnd = random.Random(5)
+    a = [prose(rnd, rnd.choice([70, 300, 900, 2500])) for _ in range(40)]
+    b = [changed(rnd, t, rnd.choice([0.01, 0.05, 0.1])) if i % 4 else rnd.choice(a) for i, t in enumerate(a)]
+    some = N.apart(a, b, np.array([int(0.44 * len(t)) for t in a]), whole=False)
+    assert (some == -2).any() and (some == -1).any()
+    for metric, plain in (("levenshtein", levenshtein_ratio), ("indel", indel_ratio)):
+        assert [None if x != x else x for x in N.ratios(a, b, metric, 78.0).tolist()] == [plain(x, y, 78.0) for x, y in zip(a, b, strict=True)]
+
+
+def test_grams_rule_out_unrelated_texts_of_any_length_and_no_near_ones():
+    rnd = random.Random(7)
+    a = ["".join(rnd.choice("abcdefghij ") for _ in range(n)) for n in (40, 700, 3000, 9000) for _ in range(6)]
+    b = [changed(rnd, t, 0.02) for t in a]
+    i, j = (x.ravel() for x in np.indices((24, 24)))
+    most = np.array([int(0.1 * max(len(a[x]), len(b[y]))) for x, y in zip(i, j, strict=True)])
+    keep = N.apart_by_grams(a, b, i, j, most)
+    like = (i // 6 == j // 6) & (i >= 6)
+    assert keep[i == j].all() and not keep[like & (i != j)].any()
+
+
+def test_texts_move_once_where_their_head_is_small(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = spark.createDataFrame([(0, i, "h" if i < 60 else f"h{i}", rnd.randint(20, 900)) for i in range(80)], "part int, pos long, head string, len int")
+    assert D._places(rows, D.Blocking()).groupBy("pos").count().filter("count > 1").count() == 0
+    monkeypatch.setattr(D, "BLOCK_ROWS", 10)
+    p = D.Blocking()
+    by = {}
+    for r in D._places(rows, p).collect():
+        by.setdefault(r.pos, {})[r.tile] = r.side
+    some = rows.filter("head = 'h'").collect()
+    near = [(a.pos, b.pos) for a in some for b in some if a.pos < b.pos and abs(a.len - b.len) <= p.delta and abs(a.len - b.len) <= 0.22 * (a.len + b.len)]
+    assert near and all(sum(by[a][t] == 2 or by[a][t] != by[b][t] for t in by[a].keys() & by[b].keys()) == 1 for a, b in near)
+
+
+def test_few_texts_follow_their_parities(spark):
+    rnd = random.Random(2)
+    base = [prose(rnd, 400 + i) for i in range(20)]
+    rows = [(0, i, t) for i, t in enumerate([*base, base[3][:-1] + "q"])]
+    texts = spark.createDataFrame(rows, "part int, pos long, norm string")
+    p = D.Blocking(threshold=98.0, metric="levenshtein")
+    x = texts.selectExpr("part", "pos", "'h' AS head", "length(norm) AS len")
+    tiles = D._dealt(texts.mapInPandas(D._sketched, "part int, pos bigint, len int, sketch binary"), D._places(x, p))
+    assert {r.pos for r in tiles.mapInPandas(D._maybe(p), "tile string, side int, part int, pos bigint").collect()} == {3, 20}
+    assert [(r.q_pos, r.c_pos) for r in D.near_pairs(x, texts, p).collect()] == [(20, 3)]
